@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions import align as A
 from parlance.functions import text as TX
+from parlance.operators.balance import spread_for_cpu
 from parlance.operators.ranks import order_stats
 
 COUNT_COLS = ["substitutions", "deletions", "insertions", "hits"]
@@ -24,7 +25,7 @@ def score_pairs(df: DataFrame, ref_col: str = "reference_text", hyp_col: str = "
 
     The normaliser is pluggable (UDF2): any Column -> Column function.
     """
-    out = (df.withColumn("norm_reference_text", normalizer(F.coalesce(F.col(ref_col), F.lit(""))))
+    out = (spread_for_cpu(df).withColumn("norm_reference_text", normalizer(F.coalesce(F.col(ref_col), F.lit(""))))
              .withColumn("norm_predicted_text", normalizer(F.coalesce(F.col(hyp_col), F.lit(""))))
              .withColumn("_al", A.align(F.col("norm_reference_text"), F.col("norm_predicted_text"))))
     s, d, i, h = (F.col(f"_al.{c}") for c in COUNT_COLS)
@@ -53,6 +54,7 @@ def corpus_metrics(scored: DataFrame, group_cols: list[str]) -> DataFrame:
 def orthographic_and_normalized_wer(pairs: DataFrame, group_cols: list[str], ref_col: str, hyp_col: str,
                                     normalizer: Callable[[Column], Column] = TX.basic_normalize) -> DataFrame:
     """AGG11: WER on raw text and on normalised text with empty references dropped (FLT5)."""
+    pairs = spread_for_cpu(pairs)
     raw = (pairs.withColumn("_al", A.align(F.col(ref_col), F.col(hyp_col)))
                 .groupBy(*group_cols)
                 .agg(*[F.sum(f"_al.{c}").alias(f"o_{c}") for c in COUNT_COLS]))
