@@ -66,7 +66,7 @@ def segment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     L = F.length("text")
     d = (L % 40).cast("double")
     gap = ((L * 7) % 8).cast("double") * 0.25
-    w = Window.partitionBy("conv_id").orderBy("turn")
+    w = Window.partitionBy("entry_id").orderBy("seg_idx")
     words = TX.split_words(F.col("text"))
     seg = (c.select(
         F.col("conv_id").alias("entry_id"), F.col("turn").alias("seg_idx"), "text",
@@ -79,3 +79,38 @@ def segment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("audio_duration",
                     F.max("end").over(Window.partitionBy("entry_id")) + (F.col("entry_id") % 5).cast("double")))
     return seg.select("entry_id", "seg_idx", "start", "end", "text", "word_scores", "audio_duration")
+
+
+def fixed_hop_slices(spark: SparkSession, sf_dir: str, slice_length: float = 30) -> DataFrame:
+    """Prepared slices of F1 with a fixed hop (no greedy packing), SQL-expressible.
+
+    slice_idx = floor(start / L); a segment whose end passes the slice end is open;
+    every slice index from 0 to ceil(duration / L) - 1 exists, empty ones included.
+    Output: entry_id, slice_idx, seek, segments (ordered by seg_idx).
+    """
+    L = float(slice_length)
+    seg = segment_rows(spark, sf_dir).withColumn("slice_idx", F.floor(F.col("start") / L).cast("bigint"))
+    seek = F.col("slice_idx").cast("double") * L
+    closed = (F.col("end") - seek) <= L
+    item = F.struct(
+        F.col("seg_idx"),
+        (F.col("start") - seek).alias("start"),
+        F.when(closed, F.col("end") - seek).alias("end"),
+        F.when(closed, F.col("text")).alias("text"),
+        F.when(closed, F.col("word_scores")).alias("word_scores"))
+    groups = (seg.groupBy("entry_id", "slice_idx")
+                 .agg(F.array_sort(F.collect_list(item)).alias("_items"))
+                 .select("entry_id", "slice_idx",
+                         F.transform("_items", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                                                                  s["text"].alias("text"),
+                                                                  s["word_scores"].alias("word_scores")))
+                          .alias("segments")))
+    n_slices = F.ceil(F.max("audio_duration") / L).cast("bigint")
+    frame = (seg.groupBy("entry_id").agg(n_slices.alias("_n"))
+                .filter(F.col("_n") > 0)
+                .select("entry_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias("slice_idx")))
+    empty = F.array().cast(groups.schema["segments"].dataType)
+    return (frame.join(groups, ["entry_id", "slice_idx"], "left")
+                 .select("entry_id", F.col("slice_idx").cast("int").alias("slice_idx"),
+                         (F.col("slice_idx").cast("double") * L).alias("seek"),
+                         F.coalesce("segments", empty).alias("segments")))
