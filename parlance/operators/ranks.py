@@ -71,3 +71,32 @@ def order_stats(df: DataFrame, group_cols: list[str], value_col: str) -> DataFra
     )
     means = df.groupBy(*group_cols).agg(F.avg(value_col).alias("mean"), F.count(F.lit(1)).alias("n"))
     return means.join(stats, on=group_cols, how="left")
+
+
+def with_position(df: DataFrame, order_cols: list[str], partition_cols: list[str] | None = None,
+                  name: str = "pos", num_partitions: int | None = None) -> DataFrame:
+    """Add a 0-based position in ``order_cols`` order (inside ``partition_cols`` groups).
+
+    Same scheme as ``ranked`` but carrying every column: range-partition + per-partition
+    counts + running offsets, so neither a hot group nor the whole table meets in one
+    task. ``order_cols`` must make the order total (end with a unique key).
+    """
+    spark = df.sparkSession
+    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = list(partition_cols or [])
+    keys = groups + list(order_cols)
+    s = (df.repartitionByRange(p, *[F.col(k).asc_nulls_first() for k in keys])
+           .sortWithinPartitions(*keys)
+           .withColumn("_pid", F.spark_partition_id())
+           .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    counts = s.groupBy(*groups, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_first"))
+    w = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_pid")
+    offsets = (counts
+               .withColumn("_off", F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0)) - F.col("_first"))
+               .select(*groups, "_pid", "_off"))
+    n_groups = df.select(*groups).distinct().count() if groups else 1
+    if n_groups + p <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    out = s.join(offsets, on=[*groups, "_pid"], how="inner")
+    return out.withColumn(name, F.col("_off") + F.col("_pos")).drop("_pid", "_pos", "_off")
