@@ -62,4 +62,4 @@ def sql_degrade(words_expr: str) -> str:
 
 
 # importing the query modules fills the registry
-from parlance.plans import queries_eval, queries_build, queries_sampling  # noqa: E402,F401
+from parlance.plans import queries_eval, queries_build, queries_sampling, queries_labels  # noqa: E402,F401
