@@ -62,4 +62,5 @@ def sql_degrade(words_expr: str) -> str:
 
 
 # importing the query modules fills the registry
-from parlance.plans import queries_eval, queries_build, queries_sampling, queries_labels, queries_vectors  # noqa: E402,F401
+from parlance.plans import (  # noqa: E402,F401
+    queries_build, queries_eval, queries_labels, queries_sampling, queries_stream, queries_vectors)

@@ -114,3 +114,14 @@ def fixed_hop_slices(spark: SparkSession, sf_dir: str, slice_length: float = 30)
                  .select("entry_id", F.col("slice_idx").cast("int").alias("slice_idx"),
                          (F.col("slice_idx").cast("double") * L).alias("seek"),
                          F.coalesce("segments", empty).alias("segments")))
+
+
+def chunk_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 from conversations: stream_id = conv_id, seq = turn, ts = 2024-01-01 + conv_id
+    minutes + turn seconds, is_partial = turn % 3 = 1, is_last on the highest turn."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    last = F.max("turn").over(Window.partitionBy("conv_id"))
+    ts = (F.lit("2024-01-01 00:00:00").cast("timestamp")
+          + F.make_dt_interval(mins=F.col("conv_id").cast("int"), secs=F.col("turn").cast("int")))
+    return c.select(F.col("conv_id").alias("stream_id"), F.col("turn").alias("seq"), ts.alias("ts"), "role", "text",
+                    (F.col("turn") % 3 == 1).alias("is_partial"), (F.col("turn") == last).alias("is_last"))
