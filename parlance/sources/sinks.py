@@ -26,12 +26,14 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     flat = df.select(*[F.to_json(F.col(f.name)).alias(f.name)
                        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) else F.col(f.name)
                        for f in df.schema.fields])
-    flat.write.mode(mode).option("header", "true").option("emptyValue", "").csv(path)
+    flat.write.mode(mode).option("header", "true").option("emptyValue", "").option("escape", '"').csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read evaluation rows back with an explicit schema (no inference)."""
-    return spark.read.option("header", "true").schema(schema).csv(path)
+    """Read evaluation rows back with an explicit schema (no inference). Texts may hold
+    line breaks, so records are parsed multi-line (one task per written file)."""
+    return (spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
+            .schema(schema).csv(path))
 
 
 def pending(todo: DataFrame, done: DataFrame | None, key_cols: list[str]) -> DataFrame:

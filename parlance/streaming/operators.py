@@ -67,42 +67,58 @@ SESSION_OUT = T.StructType([
 SESSION_STATE = T.StructType([
     T.StructField("seqs", T.ArrayType(T.LongType())),
     T.StructField("texts", T.ArrayType(T.StringType())),
+    T.StructField("last_ts", T.TimestampType()),
+    T.StructField("last_seq", T.LongType()),
 ])
+_IDLE_MS = 60_000
+
+
+def _emit(key, seqs, texts):
+    order = sorted(range(len(seqs)), key=lambda i: seqs[i])
+    return pd.DataFrame({"stream_id": [key[0]], "n_chunks": [len(seqs)],
+                         "text": [" ".join(texts[i] for i in order)]})
 
 
 def _session_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Append chunks; on the end flag (or timeout) emit the full text in chunk order."""
+    """Append chunks; emit the full text once the last chunk and every earlier sequence
+    number have arrived (chunks may arrive out of order), or on event-time timeout."""
     if state.hasTimedOut:
-        seqs, texts = state.get
+        seqs, texts, _, _ = state.get
         state.remove()
-        order = sorted(range(len(seqs)), key=lambda i: seqs[i])
-        yield pd.DataFrame({"stream_id": [key[0]], "n_chunks": [len(seqs)],
-                            "text": [" ".join(texts[i] for i in order)]})
+        yield _emit(key, seqs, texts)
         return
-    seqs, texts = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
-    ended = False
+    if state.exists:
+        seqs, texts, last_ts, last_seq = list(state.get[0]), list(state.get[1]), state.get[2], state.get[3]
+    else:
+        seqs, texts, last_ts, last_seq = [], [], None, -1
     for pdf in pdfs:
         seqs.extend(int(x) for x in pdf["seq"])
         texts.extend("" if t is None else str(t) for t in pdf["text"])
-        ended = ended or bool(pdf["is_last"].any())
-    if ended:
+        ends = pdf.loc[pdf["is_last"].fillna(False).astype(bool), "seq"]
+        if len(ends):
+            last_seq = int(ends.max())
+        m = pd.to_datetime(pdf["ts"]).max()
+        last_ts = m if last_ts is None else max(pd.Timestamp(last_ts), m)
+    if last_seq >= 0 and len(set(seqs)) == last_seq + 1:
         state.remove()
-        order = sorted(range(len(seqs)), key=lambda i: seqs[i])
-        yield pd.DataFrame({"stream_id": [key[0]], "n_chunks": [len(seqs)],
-                            "text": [" ".join(texts[i] for i in order)]})
+        yield _emit(key, seqs, texts)
     else:
-        state.update((seqs, texts))
-        state.setTimeoutDuration(60_000)
-
-
-def assemble_sessions(df: DataFrame) -> DataFrame:
-    """STR1: ``(stream_id, seq, text, is_last)`` chunks -> one row per finished stream with
-    the chunk texts joined by a space in ``seq`` order. State lives per stream until its
-    last chunk arrives (or one minute of processing time passes without data)."""
-    return (df.select("stream_id", "seq", "text", "is_last")
-              .groupBy("stream_id")
-              .applyInPandasWithState(_session_fn, SESSION_OUT, SESSION_STATE, "append",
-                                      GroupStateTimeout.ProcessingTimeTimeout))
+        state.update((seqs, texts, pd.Timestamp(last_ts).to_pydatetime(), last_seq))
+        # expire one minute of event time after the newest chunk (needs a watermark)
+        state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).timestamp() * 1000) + _IDLE_MS)
+
+
+def assemble_sessions(df: DataFrame, watermark: str = "1 minute") -> DataFrame:
+    """STR1: ``(stream_id, seq, ts, text, is_last)`` chunks -> one row per finished stream
+    with the chunk texts joined by a space in ``seq`` order. State lives per stream until
+    its last chunk arrives, or until the event-time watermark passes one minute after its
+    newest chunk (then the partial text is emitted). Chunks older than the watermark are
+    dropped by Spark."""
+    src = df.withWatermark("ts", watermark) if df.isStreaming else df
+    return (src.select("stream_id", "seq", "ts", "text", "is_last")
+               .groupBy("stream_id")
+               .applyInPandasWithState(_session_fn, SESSION_OUT, SESSION_STATE, "append",
+                                       GroupStateTimeout.EventTimeTimeout))
 
 
 def assemble_sessions_batch(df: DataFrame) -> DataFrame:
