@@ -85,3 +85,24 @@ def scorer_predictions(spark, sf_dir):
     p = transcribe(c, lambda **kw: example_scorer_factory(**kw), input_cols=["text"])
     return p.select("conv_id", "turn", F.md5("predicted_text").alias("predicted_md5"),
                     F.round("transcription_time", 6).alias("transcription_time"))
+
+
+# JOIN2 + PRJ8 + SRT1: references paired with separately produced predictions by id
+@register("paired_by_id", f"""
+WITH refs AS (SELECT conv_id, turn, text FROM conversations),
+ids AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS id FROM conversations),
+preds AS (SELECT conv_id, turn, array_to_string(list_filter(list_transform({sql_words('text')},
+            lambda x, i: CASE WHEN (i - 1) % 3 = 0 THEN reverse(x) ELSE x END), lambda x, i: (i - 1) % 5 != 2), ' ') AS p
+          FROM conversations)
+SELECT CAST(ids.id AS BIGINT) AS id, md5(refs.text) AS ref_md5, md5(preds.p) AS pred_md5
+FROM refs JOIN preds USING (conv_id, turn) JOIN ids USING (conv_id, turn)
+""")
+def paired_by_id(spark, sf_dir):
+    from parlance.operators.shaping import ordered_by_id, pair_by_id, with_row_id
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    refs = with_row_id(c, ["conv_id", "turn"])
+    preds = transcribe(c.select("conv_id", "turn", "text"), lambda **kw: example_scorer_factory(**kw),
+                       input_cols=["text"]).select("conv_id", "turn", "predicted_text")
+    p = pair_by_id(refs, preds, ["conv_id", "turn"])
+    return ordered_by_id(p.select(F.col("id").cast("bigint").alias("id"), F.md5("text").alias("ref_md5"),
+                                  F.md5("predicted_text").alias("pred_md5")))
