@@ -20,7 +20,39 @@ def corpus_wer_by_lang(spark, sf_dir):
     return SC.corpus_metrics(scored, ["lang"])
 
 
-@register("corpus_wer_by_role")
+_B = 1 << 32
+_CANON_SQL = ("regexp_replace(replace(regexp_replace({t}, '[!\"#$%&''()*+,./:;<=>?@\\[\\\\\\]^_`{{|}}~]', '', 'g'), "
+              "'-', ' '), '\\s+', ' ', 'g')")
+# Word-level DP in list lambdas (cost * B - hits, minimised), feasible for whole
+# conversation turns (a few hundred words); far too slow for whole documents.
+_ROLE_WER_SQL = f"""
+WITH p AS (SELECT role, text AS ref, {sql_degrade(sql_words('text'))} AS hyp FROM conversations),
+w AS (SELECT role, {sql_words(_CANON_SQL.format(t='ref'))} AS r, {sql_words(_CANON_SQL.format(t='hyp'))} AS h FROM p),
+z AS (SELECT role, len(r) AS n, len(h) AS m,
+  CASE WHEN len(r) = 0 OR len(h) = 0 THEN NULL ELSE
+  list_reduce(list_transform(range(1, len(r) + 1), lambda i: [i::BIGINT]),
+    lambda row, iw: list_reduce(
+      list_transform(range(1, len(h) + 1), lambda j: [least(row[j + 1] + {_B}, row[j] + CASE WHEN r[iw[1]] = h[j] THEN -1 ELSE {_B} END)]),
+      lambda acc, x: list_append(acc, least(x[1], acc[len(acc)] + {_B})),
+      [row[1] + {_B}]),
+    list_transform(range(0, len(h) + 1), lambda j: j::BIGINT * {_B})) END AS zz
+  FROM w),
+c AS (SELECT role, n, m,
+        CASE WHEN zz IS NULL THEN greatest(n, m) ELSE CAST(ceil(zz[len(zz)] / {float(_B)!r}) AS BIGINT) END AS cost,
+        CASE WHEN zz IS NULL THEN 0 ELSE CAST(ceil(zz[len(zz)] / {float(_B)!r}) AS BIGINT) * {_B} - zz[len(zz)] END AS hits
+      FROM z),
+t AS (SELECT role, CAST(sum(n + m - 2 * hits - cost) AS BIGINT) AS substitutions,
+             CAST(sum(cost + hits - m) AS BIGINT) AS deletions, CAST(sum(cost + hits - n) AS BIGINT) AS insertions,
+             CAST(sum(hits) AS BIGINT) AS hits, count(*) AS n_pairs FROM c GROUP BY role)
+SELECT *, round(CASE WHEN hits + substitutions + deletions > 0
+                     THEN (substitutions + deletions + insertions) / (hits + substitutions + deletions) END, 6) AS wer,
+          round(CASE WHEN hits + substitutions + deletions > 0 AND hits + substitutions + insertions > 0
+                     THEN 1 - (hits / (hits + substitutions + deletions)) * (hits / (hits + substitutions + insertions)) END, 6) AS wil
+FROM t
+"""
+
+
+@register("corpus_wer_by_role", _ROLE_WER_SQL)
 def corpus_wer_by_role(spark, sf_dir):
     """Conversation turns as utterances, canonicalised as in the text-compare tool (TXT6)."""
     scored = SC.score_pairs(FX.conversation_pairs(spark, sf_dir), normalizer=TX.canonicalize)
