@@ -7,10 +7,11 @@ M hypothesis words, cost C and hits H:
 
     D = C + H - M,  I = C + H - N,  S = N + M - 2H - C
 
-The DP runs in Python workers on Arrow batches; each DP row is one vectorised numpy
-step, so a pair costs O(min(N, M)) numpy calls over arrays of max(N, M). Common
-prefix and suffix words are matched first (always part of some optimal alignment
-under these weights), which makes near-identical long texts cheap.
+The DP runs in Python workers on Arrow batches. Common prefix and suffix words are
+matched first (always part of some optimal alignment under these weights). Pairs of
+an Arrow batch are sorted by length and aligned together as rows of 2-D arrays (one
+numpy step per DP row for the whole group); very long pairs run alone inside
+Ukkonen's diagonal band, widened until the band provably holds the optimum.
 """
 
 from __future__ import annotations
@@ -46,39 +47,154 @@ def _trim_common(a: list, b: list) -> tuple[int, list, list]:
     return p + s, a[p:len(a) - s], b[p:len(b) - s]
 
 
-def cost_and_hits(ref: list[str], hyp: list[str]) -> tuple[int, int]:
-    """Minimum edit cost and, at that cost, maximum hits."""
+def _banded(ai: list[int], bi: np.ndarray, k: int) -> int:
+    """Min of ``cost * B - hits`` over alignments inside diagonals [-k, (m - n) + k]
+    (outer sequence ``ai`` of length n <= m = len(bi)). Cells outside the band are +inf."""
+    n, m = len(ai), len(bi)
+    inf = np.int64(1 << 62)
+    z = np.full(m + 1, inf, dtype=np.int64)  # z[j] = row[j] - j*B
+    hi0 = min(m, (m - n) + k)
+    z[:hi0 + 1] = 0
+    cand = np.empty(m + 1, dtype=np.int64)
+    bonus = -(_B + 1)
+    for i, x in enumerate(ai, start=1):
+        lo = max(0, i - k)
+        hi = min(m, i + (m - n) + k)
+        j0 = max(lo, 1)
+        # cand[j] = min(z_prev[j] + B, z_prev[j-1] + (match ? -(B+1) : 0)) for j in [j0, hi]
+        seg = cand[j0:hi + 1]
+        np.add(z[j0:hi + 1], _B, out=seg)
+        diag = z[j0 - 1:hi].copy()
+        if x >= 0:
+            diag[bi[j0 - 1:hi] == x] += bonus
+        np.minimum(seg, diag, out=seg)
+        if lo == 0:
+            first = z[0] + _B
+            z[0] = first
+            np.minimum.accumulate(np.concatenate(([first], seg)), out=z[0:hi + 1])
+        else:
+            np.minimum.accumulate(seg, out=z[lo:hi + 1])
+            z[lo - 1] = inf  # leaves the band for good
+    return int(z[m]) + m * int(_B)
+
+
+def _prepared(ref: list[str], hyp: list[str]):
+    """Trim common ends, put the shorter side outer, code words as ints."""
     fixed, a, b = _trim_common(ref, hyp)
     if not a or not b:
-        return max(len(a), len(b)), fixed
-    # outer loop over the shorter side; the measure is symmetric (D and I swap)
+        return fixed, None, None
     if len(a) > len(b):
         a, b = b, a
     vocab: dict[str, int] = {}
     bi = np.fromiter((vocab.setdefault(w, len(vocab)) for w in b), dtype=np.int64, count=len(b))
-    ai = [vocab.get(w, -1) for w in a]
-    m = len(b)
-    # z[j] = row[j] - j*B (row in "shifted" space so the insertion chain is a running min)
-    z = np.zeros(m + 1, dtype=np.int64)
-    cand = np.empty(m + 1, dtype=np.int64)
-    diag = np.empty(m, dtype=np.int64)
-    eq = np.empty(m, dtype=bool)
-    bonus = -(_B + 1)
-    for x in ai:
-        cand[0] = z[0] + _B
-        np.add(z[1:], _B, out=cand[1:])
-        if x >= 0:
-            np.equal(bi, x, out=eq)
-            np.copyto(diag, z[:-1])
-            diag[eq] += bonus
-            np.minimum(cand[1:], diag, out=cand[1:])
-        else:
-            np.minimum(cand[1:], z[:-1], out=cand[1:])
-        np.minimum.accumulate(cand, out=z)
-    v = int(z[m]) + m * int(_B)
+    ai = np.fromiter((vocab.get(w, -1) for w in a), dtype=np.int64, count=len(a))
+    return fixed, ai, bi
+
+
+def _batched(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[int]:
+    """Full DP for several pairs at once, amortising numpy call overhead.
+
+    Layout is (column j, pair): every step, including the running minimum along j,
+    is a vector operation across the pairs. Pairs should have similar outer lengths;
+    padding never matches. int32 is used when the values provably fit.
+    """
+    P = len(pairs)
+    n_max = max(len(a) for a, _ in pairs)
+    m_max = max(len(b) for _, b in pairs)
+    small = n_max + m_max < 30_000
+    dt = np.int32 if small else np.int64
+    Bw = (1 << 16) if small else int(_B)
+    A = np.full((n_max, P), -1, dtype=np.int64)
+    Bm = np.full((m_max, P), -2, dtype=np.int64)
+    for r, (a, b) in enumerate(pairs):
+        off = r << 32  # per-pair codes never collide across pairs
+        A[:len(a), r] = np.where(a >= 0, a + off, -1)
+        Bm[:len(b), r] = b + off
+    m_of = [len(b) for _, b in pairs]
+    done_at: dict[int, list[int]] = {}
+    for r, (a, _) in enumerate(pairs):
+        done_at.setdefault(len(a), []).append(r)
+    z = np.zeros((m_max + 1, P), dtype=dt)
+    cand = np.empty_like(z)
+    tmp = np.empty((m_max, P), dtype=dt)
+    eq = np.empty((m_max, P), dtype=bool)
+    bw = dt(Bw)
+    bonus = dt(-(Bw + 1))
+    out = [0] * P
+    for i in range(1, n_max + 1):
+        np.equal(Bm, A[i - 1], out=eq)
+        np.add(z[:-1], bonus, out=tmp)
+        np.copyto(tmp, z[:-1], where=~eq)
+        np.add(z, bw, out=cand)
+        np.minimum(cand[1:], tmp, out=cand[1:])
+        np.minimum.accumulate(cand, axis=0, out=z)
+        for r in done_at.get(i, ()):
+            v = int(z[m_of[r], r]) + m_of[r] * Bw
+            c = -(-v // Bw)
+            hits = c * Bw - v
+            out[r] = c * int(_B) - hits  # re-encode with the common weight
+    return out
+
+
+def _finish(v: int, fixed: int) -> tuple[int, int]:
     cost = -(-v // int(_B))
-    hits = cost * int(_B) - v
-    return cost, hits + fixed
+    return cost, cost * int(_B) - v + fixed
+
+
+LONG_CELLS = 4_000_000  # pairs above this many DP cells run alone with the band
+
+
+def cost_and_hits_many(pairs: list[tuple[list[str], list[str]]]) -> list[tuple[int, int]]:
+    """``cost_and_hits`` for many pairs: short ones batched by length, long ones banded."""
+    res: list[tuple[int, int] | None] = [None] * len(pairs)
+    todo = []
+    for k, (r, h) in enumerate(pairs):
+        fixed, ai, bi = _prepared(r, h)
+        if ai is None:
+            res[k] = (max(len(r), len(h)) - fixed, fixed)
+        elif len(ai) * len(bi) > LONG_CELLS:
+            res[k] = _finish(_band_search(ai, bi), fixed)
+        else:
+            todo.append((len(ai), len(bi), k, fixed, ai, bi))
+    todo.sort(key=lambda t: (t[0], t[1]))
+    g = 0
+    while g < len(todo):
+        # group of similar outer length, bounded cell count per step
+        h = g + 1
+        while h < len(todo) and h - g < 256 and todo[h][0] <= todo[g][0] * 1.25 + 4 \
+                and (h - g + 1) * max(t[1] for t in todo[g:h + 1]) <= 400_000:
+            h += 1
+        vals = _batched([(t[4], t[5]) for t in todo[g:h]])
+        for t, v in zip(todo[g:h], vals):
+            res[t[2]] = _finish(v, t[3])
+        g = h
+    return res  # type: ignore[return-value]
+
+
+def _band_search(ai: np.ndarray, bi: np.ndarray) -> int:
+    n, m = len(ai), len(bi)
+    k = max(8, (m - n) // 2 + 8, n // 16)
+    while True:
+        v = _banded(list(ai), bi, k)
+        cost = -(-v // int(_B))
+        if cost <= (m - n) + 2 * k + 1 or k >= m:
+            return v
+        k *= 2
+
+
+def cost_and_hits(ref: list[str], hyp: list[str]) -> tuple[int, int]:
+    """Minimum edit cost and, at that cost, maximum hits (exact).
+
+    Ukkonen's band: an alignment that leaves diagonals [-k, (m - n) + k] has at least
+    (m - n) + 2k + 2 indels, so a banded optimum of cost <= (m - n) + 2k + 1 is the
+    global one (cost dominates the hit tie-break); otherwise k doubles.
+    """
+    fixed, ai, bi = _prepared(ref, hyp)
+    if ai is None:
+        return max(len(ref), len(hyp)) - fixed, fixed
+    if len(ai) * len(bi) > LONG_CELLS:
+        return _finish(_band_search(ai, bi), fixed)
+    return _finish(_batched([(ai, bi)])[0], fixed)
 
 
 def align_words(ref: list[str], hyp: list[str]) -> tuple[int, int, int, int, int, int]:
@@ -92,9 +208,18 @@ def _words(t) -> list[str]:
     return [] if t is None else t.split()
 
 
+def align_many(pairs: list[tuple[list[str], list[str]]]) -> list[tuple[int, int, int, int, int, int]]:
+    """(N, M, S, D, I, H) for many word-list pairs."""
+    out = []
+    for (r, h), (c, hits) in zip(pairs, cost_and_hits_many(pairs)):
+        n, m = len(r), len(h)
+        out.append((n, m, n + m - 2 * hits - c, c + hits - m, c + hits - n, hits))
+    return out
+
+
 @F.pandas_udf(ALIGN_TYPE)
 def _align_udf(ref: pd.Series, hyp: pd.Series) -> pd.DataFrame:
-    rows = [align_words(_words(r), _words(h)) for r, h in zip(ref, hyp)]
+    rows = align_many([(_words(r), _words(h)) for r, h in zip(ref, hyp)])
     cols = ["n_ref", "n_hyp", "substitutions", "deletions", "insertions", "hits"]
     return pd.DataFrame(rows if rows else None, columns=cols, dtype="int64")
 

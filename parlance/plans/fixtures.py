@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parlance.functions import text as TX
+from parlance.operators.balance import spread_for_cpu
 from parlance.sources.tables import table
 
 
@@ -26,7 +27,7 @@ def degrade_words(words: Column) -> Column:
 
 def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 on whole documents: id, lang, source, reference_text, predicted_text."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    d = spread_for_cpu(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
     return d.select(
         F.col("doc_id").alias("id"), "lang", "source",
         F.col("text").alias("reference_text"),
@@ -35,7 +36,7 @@ def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 on whole conversation turns: conv_id, turn, role, reference_text, predicted_text."""
-    c = table(spark, sf_dir, "conversations")
+    c = spread_for_cpu(table(spark, sf_dir, "conversations"))
     return c.select(
         "conv_id", "turn", "role", F.col("text").alias("reference_text"),
         F.array_join(degrade_words(TX.split_words(F.col("text"))), " ").alias("predicted_text"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions import text as TX
 from parlance.operators import scoring as SC
+from parlance.operators.balance import spread_for_cpu
 from parlance.plans import fixtures as FX
 from parlance.plans.catalog import register, sql_degrade, sql_hebrew_norm, sql_words, SQL_BASIC_NORM
 from parlance.sources.tables import table
@@ -73,7 +74,7 @@ SELECT doc_id, md5(n) AS norm_md5, CAST(length(n) AS BIGINT) AS norm_chars,
 FROM (SELECT doc_id, {sql_hebrew_norm('text')} AS n FROM documents)
 """)
 def normalized_text_digest(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", TX.hebrew_normalize(F.col("text")).alias("n"))
+    d = spread_for_cpu(table(spark, sf_dir, "documents")).select("doc_id", TX.hebrew_normalize(F.col("text")).alias("n"))
     return d.select("doc_id", F.md5("n").alias("norm_md5"), F.length("n").cast("bigint").alias("norm_chars"),
                     F.size(TX.split_words(F.col("n"))).cast("bigint").alias("norm_words"))
 
