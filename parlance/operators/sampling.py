@@ -85,15 +85,19 @@ def attribute_draws(key: Column, probs: dict[str, Column | float], seed: int = 9
 
 # ---- AGG7: adaptive ratio estimation ----------------------------------------------------
 
-def _betacf(a, b, x, iters=200):
-    """Continued fraction for the regularised incomplete beta (vectorised, Lentz)."""
+def _betacf(a, b, x, iters=300):
+    """Continued fraction for the regularised incomplete beta (vectorised modified
+    Lentz); converged elements leave the working set."""
     tiny = 1e-300
+    a, b, x = (np.asarray(v, dtype=float).copy() for v in (a, b, x))
     qab, qap, qam = a + b, a + 1.0, a - 1.0
     c = np.ones_like(x)
     d = 1.0 - qab * x / qap
     d = np.where(np.abs(d) < tiny, tiny, d)
     d = 1.0 / d
     h = d.copy()
+    out = h.copy()
+    idx = np.arange(len(x))
     for m in range(1, iters + 1):
         m2 = 2 * m
         aa = m * (b - m) * x / ((qam + m2) * (a + m2))
@@ -111,20 +115,29 @@ def _betacf(a, b, x, iters=200):
         d = 1.0 / d
         delta = d * c
         h = h * delta
-        if np.all(np.abs(delta - 1.0) < 3e-16):
+        out[idx] = h
+        keep = np.abs(delta - 1.0) >= 3e-16
+        if not keep.any():
             break
-    return h
+        if not keep.all():
+            idx, a, b, x, qab, qap, qam, c, d, h = (v[keep] for v in (idx, a, b, x, qab, qap, qam, c, d, h))
+    return out
+
+
+def _log_beta(a, b):
+    from math import lgamma
+    lg = np.vectorize(lgamma, otypes=[float])
+    return lg(a) + lg(b) - lg(a + b)
 
 
-def beta_cdf(x, a, b):
+def beta_cdf(x, a, b, log_beta=None):
     """Regularised incomplete beta I_x(a, b), numpy-vectorised."""
     x = np.clip(np.asarray(x, dtype=float), 0.0, 1.0)
     a = np.asarray(a, dtype=float)
     b = np.asarray(b, dtype=float)
-    from math import lgamma
-    lg = np.vectorize(lgamma)
+    lb = _log_beta(a, b) if log_beta is None else log_beta
     with np.errstate(divide="ignore", invalid="ignore"):
-        lbt = lg(a + b) - lg(a) - lg(b) + a * np.log(np.where(x > 0, x, 1.0)) + b * np.log(np.where(x < 1, 1 - x, 1.0))
+        lbt = -lb + a * np.log(np.where(x > 0, x, 1.0)) + b * np.log(np.where(x < 1, 1 - x, 1.0))
         bt = np.where((x == 0) | (x == 1), 0.0, np.exp(lbt))
         use_direct = x < (a + 1.0) / (a + b + 2.0)
         xa = np.where(use_direct, x, 1 - x)
@@ -136,17 +149,35 @@ def beta_cdf(x, a, b):
     return np.where(x <= 0, 0.0, np.where(x >= 1, 1.0, res))
 
 
-def beta_ppf(q, a, b, iters=60):
-    """Quantile of Beta(a, b) by bisection on the CDF (vectorised)."""
+def beta_ppf(q, a, b, iters=60, tol=1e-14):
+    """Quantile of Beta(a, b): Newton steps on the CDF from the normal approximation,
+    kept inside a shrinking bracket (bisection whenever Newton would leave it);
+    converged elements leave the working set."""
+    from statistics import NormalDist
     a = np.asarray(a, dtype=float)
-    lo = np.zeros_like(a)
-    hi = np.ones_like(a)
+    b = np.asarray(b, dtype=float)
+    out = np.empty_like(a)
+    lb = _log_beta(a, b)
+    mean = a / (a + b)
+    sd = np.sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))
+    x = np.clip(mean + NormalDist().inv_cdf(float(q)) * sd, 1e-12, 1 - 1e-12)
+    lo, hi = np.zeros_like(a), np.ones_like(a)
+    idx = np.arange(len(a))
     for _ in range(iters):
-        mid = (lo + hi) / 2
-        below = beta_cdf(mid, a, b) < q
-        lo = np.where(below, mid, lo)
-        hi = np.where(below, hi, mid)
-    return (lo + hi) / 2
+        f = beta_cdf(x, a, b, lb) - q
+        lo = np.where(f < 0, x, lo)
+        hi = np.where(f < 0, hi, x)
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            pdf = np.exp((a - 1) * np.log(x) + (b - 1) * np.log1p(-x) - lb)
+            nx = x - np.where(pdf > 0, f / pdf, np.inf)
+        bad = ~np.isfinite(nx) | (nx <= lo) | (nx >= hi)
+        nx = np.where(bad, (lo + hi) / 2, nx)
+        out[idx] = nx
+        keep = (np.abs(nx - x) >= tol) & (hi - lo >= tol)
+        if not keep.any():
+            break
+        idx, a, b, lb, lo, hi, x = (v[keep] for v in (idx, a, b, lb, lo, hi, nx))
+    return out
 
 
 def interval_width(n: np.ndarray, pos: np.ndarray, confidence: float = 0.95) -> np.ndarray:
@@ -182,11 +213,14 @@ def estimate_ratios(df: DataFrame, key: str, discriminators: dict[str, Column],
         F.struct(F.lit(nm).alias("attribute"), F.col(f"_p_{i}").alias("pos")) for i, nm in enumerate(names)]))
         .alias("_x")).select("n", "_x.attribute", "_x.pos")
     long = long.withColumn("done", (_width_udf(F.col("n"), F.col("pos")) < target_width) | (F.col("n") >= max_rows))
-    first_done = long.groupBy("attribute").agg(F.min(F.when(F.col("done"), F.col("n"))).alias("_fd"),
-                                               F.max("n").alias("_all"))
-    stop = first_done.agg(F.when(F.count(F.when(F.col("_fd").isNull(), 1)) > 0, F.max("_all"))
-                          .otherwise(F.max("_fd")).alias("stop"))
-    at = long.join(stop, long["n"] == stop["stop"]).select(
+    # one pass over the bounded sample (<= max_rows x attributes rows): windows, no re-evaluation
+    by_attr = Window.partitionBy("attribute")
+    everything = Window.partitionBy(F.lit(0))
+    long = (long.withColumn("_fd", F.min(F.when(F.col("done"), F.col("n"))).over(by_attr))
+                .withColumn("_last", F.max("n").over(everything))
+                .withColumn("_open", F.max(F.col("_fd").isNull().cast("int")).over(everything))
+                .withColumn("_stop", F.when(F.col("_open") == 1, F.col("_last")).otherwise(F.max("_fd").over(everything))))
+    at = long.filter(F.col("n") == F.col("_stop")).select(
         "attribute", F.col("n").cast("bigint").alias("samples"), F.col("pos").cast("bigint").alias("positives"))
     return at.withColumn("estimated_ratio", F.round(F.col("positives") / F.col("samples"), 6))
 
