@@ -49,14 +49,22 @@ def median(xs: list) -> float:
     return float(s[n // 2]) if n % 2 else (s[n // 2 - 1] + s[n // 2]) / 2.0
 
 
+class NeedMore(Exception):
+    """A decision needs a segment that has not arrived yet (streaming use)."""
+
+
 class _Window:
-    """Lookahead buffer over a segment iterator, addressable by absolute index."""
+    """Lookahead buffer over a segment iterator, addressable by absolute index.
+
+    With ``final=False`` asking past the available segments raises ``NeedMore`` instead
+    of reporting the end of the entry."""
 
-    def __init__(self, it: Iterable[Seg]):
+    def __init__(self, it: Iterable[Seg], base: int = 0, final: bool = True):
         self._it = iter(it)
         self._buf: list[Seg] = []
-        self._base = 0
+        self._base = base
         self._done = False
+        self._final = final
 
     def get(self, i: int) -> Seg | None:
         while not self._done and i >= self._base + len(self._buf):
@@ -65,7 +73,11 @@ class _Window:
             except StopIteration:
                 self._done = True
         k = i - self._base
-        return self._buf[k] if 0 <= k < len(self._buf) else None
+        if 0 <= k < len(self._buf):
+            return self._buf[k]
+        if not self._final and k >= 0:
+            raise NeedMore
+        return None
 
     def release_before(self, i: int) -> None:
         k = i - self._base
@@ -73,73 +85,106 @@ class _Window:
             del self._buf[:k]
             self._base = i
 
+    def pending(self) -> tuple[int, list[Seg]]:
+        """(absolute index of the first kept segment, kept segments) after draining."""
+        while not self._done:
+            try:
+                self._buf.append(next(self._it))
+            except StopIteration:
+                self._done = True
+        return self._base, list(self._buf)
+
+
+def _step(win: _Window, duration: float, L: float, threshold: float, nxt: float, i: int):
+    """One iteration of the packing loop from ``(nxt, i)``: returns
+    ``(slice or None, nxt, i)``; None when the head segment was skipped (R1)."""
+    seek = nxt
+    win.release_before(i)
+    head = win.get(i)
+    if head is not None and (head.end - head.start > L or head.end == head.start):  # R1
+        after = win.get(i + 1)
+        if after is not None:
+            return None, after.start, i + 1
+        return None, duration, i
+    out: list[dict] = []  # R2
+    closed: list[int] = []
+    nxt = seek + L
+    cut = min(nxt, duration)
+    while True:
+        s = win.get(i)
+        if s is None or not (s.start < cut):
+            break
+        e = min(s.end, duration)
+        if e <= cut:  # R3
+            out.append({"start": max(0.0, s.start - seek), "end": min(L, e - seek),
+                        "text": s.text, "word_scores": list(s.scores)})
+            closed.append(i)
+            i += 1
+            continue
+        if not out:  # R4
+            nxt = s.start
+        else:  # R5
+            out.append({"start": max(0.0, s.start - seek)})
+            nxt = win.get(i - 1).end
+        break
+    if closed:  # R6
+        pooled = [x for k in closed for x in win.get(k).scores]
+        if median(pooled) < threshold:
+            restart = None
+            for k in closed[1:]:
+                if median(win.get(k).scores) >= threshold:
+                    restart = k
+                    break
+            if restart is not None:
+                nxt = win.get(restart).start
+                i = restart
+            else:
+                after = closed[-1] + 1
+                s = win.get(after)
+                if s is not None:
+                    nxt = s.start
+                    i = after
+                else:
+                    nxt = duration
+            out = []
+    return (seek, out), nxt, i
+
 
 def slice_segments(segments: Iterable[Seg], duration: float, slice_length: float = 30,
                    threshold: float = 0.0) -> Iterator[tuple[float, list[dict]]]:
     """Yield ``(seek, segments)`` per slice; slice segments are dicts with
     ``start`` and, when closed, ``end``, ``text`` and ``word_scores``."""
-    L = slice_length
     win = _Window(segments)
-    nxt = 0.0
-    i = 0
-    guard = 0
+    nxt, i = 0.0, 0
+    steps = 0
     while nxt < duration:
-        guard += 1
-        if guard > 10_000_000:
+        steps += 1
+        if steps > 10_000_000:
             raise RuntimeError("slicer made no progress")
-        seek = nxt
-        win.release_before(i)
-        head = win.get(i)
-        if head is not None and (head.end - head.start > L or head.end == head.start):  # R1
-            after = win.get(i + 1)
-            if after is not None:
-                nxt = after.start
-                i += 1
-            else:
-                nxt = duration
-            continue
-        out: list[dict] = []  # R2
-        closed: list[int] = []
-        nxt = seek + L
-        cut = min(nxt, duration)
-        while True:
-            s = win.get(i)
-            if s is None or not (s.start < cut):
-                break
-            e = min(s.end, duration)
-            if e <= cut:  # R3
-                out.append({"start": max(0.0, s.start - seek), "end": min(L, e - seek),
-                            "text": s.text, "word_scores": list(s.scores)})
-                closed.append(i)
-                i += 1
-                continue
-            if not out:  # R4
-                nxt = s.start
-            else:  # R5
-                out.append({"start": max(0.0, s.start - seek)})
-                nxt = win.get(i - 1).end
-            break
-        if closed:  # R6
-            pooled = [x for k in closed for x in win.get(k).scores]
-            if median(pooled) < threshold:
-                restart = None
-                for k in closed[1:]:
-                    if median(win.get(k).scores) >= threshold:
-                        restart = k
-                        break
-                if restart is not None:
-                    nxt = win.get(restart).start
-                    i = restart
-                else:
-                    after = closed[-1] + 1
-                    s = win.get(after)
-                    if s is not None:
-                        nxt = s.start
-                        i = after
-                    else:
-                        nxt = duration
-                out = []
-        yield seek, out
+        sl, nxt, i = _step(win, duration, float(slice_length), threshold, nxt, i)
+        if sl is not None:
+            yield sl
+
+
+def resume_slices(base: int, buffered: list[Seg], duration: float, slice_length: float, threshold: float,
+                  nxt: float, i: int, final: bool):
+    """Advance the packing over buffered segments ``base, base+1, ...`` from ``(nxt, i)``.
+
+    Stops before any step whose decisions need a segment that has not arrived (unless
+    ``final``). Returns ``(slices, nxt, i, finished, kept_base, kept_segments)``."""
+    win = _Window(iter(buffered), base=base, final=final)
+    out = []
+    while nxt < duration:
+        try:
+            sl, n2, i2 = _step(win, duration, float(slice_length), threshold, nxt, i)
+        except NeedMore:
+            b, kept = win.pending()
+            keep_from = max(b, min(i, b + len(kept)))
+            return out, nxt, i, False, keep_from, kept[keep_from - b:]
+        nxt, i = n2, i2
+        if sl is not None:
+            out.append(sl)
+    return out, nxt, i, True, i, []
 
 
 class _Rows:
