@@ -28,8 +28,8 @@ BROADCAST_ROWS = 2_000_000
 
 
 def ranked(df: DataFrame, group_cols: list[str], value_col: str, num_partitions: int | None = None) -> DataFrame:
-    """Return ``group_cols + [value_col, rank, n]`` with 1-based ``rank`` inside the group
-    in ascending value order and ``n`` the group size."""
+    """Return ``group_cols + [value_col, rank, n, total]`` with 1-based ``rank`` inside the
+    group in ascending value order, ``n`` the group size and ``total`` the group's sum."""
     spark = df.sparkSession
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = group_cols + [value_col]
@@ -38,18 +38,20 @@ def ranked(df: DataFrame, group_cols: list[str], value_col: str, num_partitions:
          .sortWithinPartitions(*keys)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
-    counts = s.groupBy(*group_cols, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_first"))
+    counts = s.groupBy(*group_cols, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_first"),
+                                                F.sum(value_col).alias("_s"))
     w = Window.partitionBy(*group_cols).orderBy("_pid")
     offsets = (counts
                .withColumn("_off", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)))
                .withColumn("n", F.sum("_c").over(Window.partitionBy(*group_cols)))
-               .select(*group_cols, "_pid", (F.coalesce("_off", F.lit(0)) - F.col("_first")).alias("_off"), "n"))
+               .withColumn("total", F.sum("_s").over(Window.partitionBy(*group_cols)))
+               .select(*group_cols, "_pid", (F.coalesce("_off", F.lit(0)) - F.col("_first")).alias("_off"), "n", "total"))
     # offsets has at most (#groups + p) rows: each partition holds one contiguous key range.
     n_groups = df.select(*group_cols).distinct().count() if group_cols else 1
     if n_groups + p <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     out = s.join(offsets, on=[*group_cols, "_pid"], how="inner")
-    return out.select(*group_cols, value_col, (F.col("_off") + F.col("_pos") + 1).alias("rank"), "n")
+    return out.select(*group_cols, value_col, (F.col("_off") + F.col("_pos") + 1).alias("rank"), "n", "total")
 
 
 def order_stats(df: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
@@ -64,13 +66,15 @@ def order_stats(df: DataFrame, group_cols: list[str], value_col: str) -> DataFra
     rk = F.col("rank")
     v = F.col(value_col)
     picked = r.filter((rk == lo_mid) | (rk == hi_mid) | (rk == k90) | (rk == k99))
-    stats = picked.groupBy(*group_cols).agg(
+    # every non-empty group has its median row among the picked ones, so n and the sum
+    # (from the per-partition counts) come along without another pass over the data
+    return picked.groupBy(*group_cols).agg(
+        (F.max("total") / F.max("n")).alias("mean"),
+        F.max("n").alias("n"),
         ((F.max(F.when(rk == lo_mid, v)) + F.max(F.when(rk == hi_mid, v))) / 2).alias("median"),
         F.max(F.when(rk == k90, v)).alias("p90"),
         F.max(F.when(rk == k99, v)).alias("p99"),
     )
-    means = df.groupBy(*group_cols).agg(F.avg(value_col).alias("mean"), F.count(F.lit(1)).alias("n"))
-    return means.join(stats, on=group_cols, how="left")
 
 
 def with_position(df: DataFrame, order_cols: list[str], partition_cols: list[str] | None = None,
