@@ -78,7 +78,7 @@ def order_stats(df: DataFrame, group_cols: list[str], value_col: str) -> DataFra
 
 
 def with_position(df: DataFrame, order_cols: list[str], partition_cols: list[str] | None = None,
-                  name: str = "pos", num_partitions: int | None = None) -> DataFrame:
+                  name: str = "pos", num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
     """Add a 0-based position in ``order_cols`` order (inside ``partition_cols`` groups).
 
     Same scheme as ``ranked`` but carrying every column: range-partition + per-partition

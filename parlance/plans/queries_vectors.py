@@ -153,3 +153,33 @@ def signal_transforms(spark, sf_dir):
         F.round(total(MG.sample_range(F.col("x"), F.lit(0.016), 0.032, RATE)), 6).alias("window_sum"),
         F.md5(SG.base64_payload(F.array_join(F.transform(pcm, lambda v: v.cast("string")), ",").cast("binary")))
          .alias("payload_md5"))
+
+
+# ARR6 + ARR7: trailing-padding compression of frame arrays and its expansion
+@register("padding_compression", """
+WITH f AS (
+  SELECT vec_id,
+         list_transform(embedding, lambda x: [CAST(x AS DOUBLE), CAST(x AS DOUBLE) * 2]) AS feats,
+         list_transform(range(1, len(embedding) + 1), lambda i: CASE WHEN i <= vec_id % 64 + 1 THEN 1 ELSE 0 END) AS mask
+  FROM embeddings),
+c AS (
+  SELECT vec_id, feats, len(mask) >= 3 AND mask[-3] = 0 AS comp, list_position(mask, 0) AS fz FROM f)
+SELECT vec_id,
+  CAST(CASE WHEN comp THEN fz ELSE len(feats) END AS BIGINT) AS n_kept,
+  CAST(CASE WHEN comp THEN len(feats) - fz ELSE 0 END AS BIGINT) AS pad_amount,
+  round(CASE WHEN comp THEN list_sum(feats[fz + 1]) ELSE 0 END, 6) AS pad_value_sum,
+  CAST(len(feats) AS BIGINT) AS expanded_len
+FROM c
+""")
+def padding_compression(spark, sf_dir):
+    from parlance.operators import labels as LB
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    feats = F.transform("embedding", lambda x: F.array(x.cast("double"), x.cast("double") * 2))
+    mask = F.transform(F.sequence(F.lit(1), F.size("embedding")),
+                       lambda i: F.when(i <= (F.col("vec_id") % 64) + 1, 1).otherwise(0))
+    c = e.select("vec_id", LB.compress_padding(feats, mask).alias("c"))
+    total = F.aggregate(F.coalesce(F.col("c.pad_value"), F.array().cast("array<double>")), F.lit(0.0), lambda a, v: a + v)
+    expanded = LB.expand_padding(F.col("c.input_features"), F.col("c.pad_value"), F.col("c.pad_amount"))
+    return c.select("vec_id", F.size("c.input_features").cast("bigint").alias("n_kept"),
+                    F.col("c.pad_amount").cast("bigint").alias("pad_amount"),
+                    F.round(total, 6).alias("pad_value_sum"), F.size(expanded).cast("bigint").alias("expanded_len"))
