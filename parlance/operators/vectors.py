@@ -45,8 +45,13 @@ def assert_same_keys(ws: DataFrame) -> None:
         raise ValueError("Model checkpoints have different keys")
 
 
-def average(ws: DataFrame, checkpoints: list, weights: list[float] | None = None, check: bool = True) -> DataFrame:
-    """AGG9: ``sum_c w_c * values_c`` per key, accumulated in DOUBLE, result FLOAT."""
+def average(ws: DataFrame, checkpoints: list, weights: list[float] | None = None, check: bool = True,
+            as_arrays: bool = False) -> DataFrame:
+    """AGG9: ``sum_c w_c * values_c`` per key, accumulated in DOUBLE, result FLOAT.
+
+    Returns the long form ``(key, pos, value)``; ``as_arrays`` re-assembles one array per
+    key (a whole tensor then sits in one row, so keep that for tensors of bounded size).
+    """
     w = validate_weights(len(checkpoints), weights)
     if check:
         assert_same_keys(ws.filter(F.col("checkpoint").isin(checkpoints)))
@@ -54,6 +59,8 @@ def average(ws: DataFrame, checkpoints: list, weights: list[float] | None = None
     long = (ws.filter(F.col("checkpoint").isin(checkpoints))
               .select("key", F.posexplode("values").alias("pos", "v"), wmap[F.col("checkpoint")].alias("w")))
     summed = long.groupBy("key", "pos").agg(F.sum(F.col("v").cast("double") * F.col("w")).alias("s"))
+    if not as_arrays:
+        return summed.select("key", "pos", F.col("s").cast("float").alias("value"))
     return (summed.groupBy("key")
                   .agg(F.array_sort(F.collect_list(F.struct("pos", F.col("s").cast("float").alias("v")))).alias("_a"))
                   .select("key", F.transform("_a", lambda x: x["v"]).alias("values")))

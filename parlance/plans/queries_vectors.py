@@ -56,8 +56,8 @@ FROM l GROUP BY key, pos
 
 
 def _avg_rows(avg):
-    return avg.select(F.col("key").cast("bigint").alias("key"), F.posexplode("values").alias("pos", "v")).select(
-        "key", F.col("pos").cast("bigint").alias("pos"), F.round(F.col("v").cast("double"), 6).alias("value"))
+    return avg.select(F.col("key").cast("bigint").alias("key"), F.col("pos").cast("bigint").alias("pos"),
+                      F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
 @register("checkpoint_average_equal", _avg_sql(f"{1.0 / N_CKPT!r}::DOUBLE"))
