@@ -62,34 +62,6 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
-def _stable_class() -> str:
-    """Regex class of characters that NFKC leaves alone and that never compose with a
-    neighbour: starters below U+0300 (and the Hebrew letters) whose NFKC form is
-    themselves. Derived from the Unicode database, not listed by hand."""
-    cps = [c for c in list(range(0x20, 0x300)) + list(range(0x5D0, 0x5EB))
-           if unicodedata.combining(chr(c)) == 0 and unicodedata.normalize("NFKC", chr(c)) == chr(c)]
-    cps += [0x09, 0x0A, 0x0D]
-    cps.sort()
-    runs, start, prev = [], cps[0], cps[0]
-    for c in cps[1:]:
-        if c != prev + 1:
-            runs.append((start, prev))
-            start = c
-        prev = c
-    runs.append((start, prev))
-    return "".join(f"\\x{{{a:04X}}}" if a == b else f"\\x{{{a:04X}}}-\\x{{{b:04X}}}" for a, b in runs)
-
-
-NFKC_STABLE = _stable_class()
-
-
-def nfkc_where_needed(c: Column) -> Column:
-    """NFKC, sending to Python only texts holding a character outside the stable class;
-    the others (most text) stay in the JVM and pass through unchanged."""
-    needs = c.rlike("[^" + NFKC_STABLE + "]")
-    return F.coalesce(nfkc(F.when(needs, c)), c)
-
-
 def basic_normalize(c: Column, use_nfkc: bool = True) -> Column:
     """TXT4: the published multilingual basic normaliser.
 
@@ -100,7 +72,7 @@ def basic_normalize(c: Column, use_nfkc: bool = True) -> Column:
     x = F.regexp_replace(x, BRACKET_SPAN, "")
     x = F.regexp_replace(x, PAREN_SPAN, "")
     if use_nfkc:
-        x = nfkc_where_needed(x)
+        x = nfkc(x)
     x = F.regexp_replace(x, MSP_CLASS, " ")
     x = F.lower(x)
     return F.regexp_replace(x, _WS, " ")
