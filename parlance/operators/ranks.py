@@ -15,7 +15,7 @@ that task is the job. Instead:
 
 The offsets table is broadcast only when its proven bound (#groups + #partitions, with
 #groups counted by a cheap partial aggregate first) is small; otherwise it is a normal
-join. The sorted exchange is shared by the count and the join (exchange reuse).
+join. The sorted data is persisted so the count and the join read one partitioning.
 """
 
 from __future__ import annotations
@@ -27,17 +27,30 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 
 
+def _sorted_once(df: DataFrame, keys: list[str], p: int) -> DataFrame:
+    """Range-partition and sort once, tagging partition index and position.
+
+    The per-partition counts and the rows must see the same partitioning. Two range
+    exchanges over differently pruned inputs sample with different seeds (the seed
+    includes the RDD id) and so can cut at different bounds; the sorted data is
+    therefore persisted (memory and disk) and both branches read it. A lost block is
+    recomputed from the same shuffle dependency, hence the same bounds.
+    """
+    from pyspark import StorageLevel
+    s = (df.repartitionByRange(p, *[F.col(k).asc_nulls_first() for k in keys])
+           .sortWithinPartitions(*keys)
+           .withColumn("_pid", F.spark_partition_id())
+           .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    return s.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def ranked(df: DataFrame, group_cols: list[str], value_col: str, num_partitions: int | None = None) -> DataFrame:
     """Return ``group_cols + [value_col, rank, n, total]`` with 1-based ``rank`` inside the
     group in ascending value order, ``n`` the group size and ``total`` the group's sum."""
     spark = df.sparkSession
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = group_cols + [value_col]
-    s = (df.select(*keys)
-         .repartitionByRange(p, *[F.col(k).asc_nulls_first() for k in keys])
-         .sortWithinPartitions(*keys)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    s = _sorted_once(df.select(*keys), keys, p)
     counts = s.groupBy(*group_cols, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_first"),
                                                 F.sum(value_col).alias("_s"))
     w = Window.partitionBy(*group_cols).orderBy("_pid")
@@ -78,7 +91,7 @@ def order_stats(df: DataFrame, group_cols: list[str], value_col: str) -> DataFra
 
 
 def with_position(df: DataFrame, order_cols: list[str], partition_cols: list[str] | None = None,
-                  name: str = "pos", num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
+                  name: str = "pos", num_partitions: int | None = None) -> DataFrame:
     """Add a 0-based position in ``order_cols`` order (inside ``partition_cols`` groups).
 
     Same scheme as ``ranked`` but carrying every column: range-partition + per-partition
@@ -89,10 +102,7 @@ def with_position(df: DataFrame, order_cols: list[str], partition_cols: list[str
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = list(partition_cols or [])
     keys = groups + list(order_cols)
-    s = (df.repartitionByRange(p, *[F.col(k).asc_nulls_first() for k in keys])
-           .sortWithinPartitions(*keys)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    s = _sorted_once(df, keys, p)
     counts = s.groupBy(*groups, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_first"))
     w = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_pid")
     offsets = (counts
