@@ -67,16 +67,30 @@ def build_vocabulary(texts: DataFrame, text_col: str) -> DataFrame:
 
 
 def tokenize(df: DataFrame, key_cols: list[str], text_col: str, vocab: DataFrame, out_col: str) -> DataFrame:
-    """TXT11: ``text_col`` -> ``out_col`` ARRAY<INT> via explode, dictionary join and an
-    ordered regroup per row key (each group is one text)."""
-    toks = df.select(*key_cols, F.posexplode(split_tokens(F.col(text_col))).alias("_p", "token"))
+    """TXT11: ``text_col`` -> ``out_col`` ARRAY<INT> (see ``tokenize_columns``)."""
+    return tokenize_columns(df, key_cols, {out_col: text_col}, vocab)
+
+
+def tokenize_columns(df: DataFrame, key_cols: list[str], columns: dict[str, str], vocab: DataFrame) -> DataFrame:
+    """TXT11 for several text columns at once: one explode of all tokens tagged by
+    column, one dictionary join, one ordered regroup per (row key, column) and one join
+    back, whatever the number of columns. ``columns`` maps output -> text column."""
+    outs = list(columns)
+    def tag(k):
+        return lambda t, i: F.struct(F.lit(k).alias("_c"), i.alias("_p"), t.alias("token"))
+    tagged = F.flatten(F.array(*[F.transform(split_tokens(F.col(src)), tag(k))
+                                 for k, src in enumerate(columns.values())]))
+    toks = df.select(*key_cols, F.explode(tagged).alias("_t")).select(*key_cols, "_t._c", "_t._p", "_t.token")
     ids = (toks.join(vocab, "token", "left")
                .withColumn("_id", F.coalesce(marker_id(F.col("token")), F.col("token_id"))))
     grouped = (ids.groupBy(*key_cols)
-                  .agg(F.array_sort(F.collect_list(F.struct("_p", "_id"))).alias("_s"))
-                  .select(*key_cols, F.transform("_s", lambda s: s["_id"]).alias(out_col)))
-    return (df.join(grouped, key_cols, "left")
-              .withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<int>"))))
+                  .agg(*[F.array_sort(F.collect_list(F.when(F.col("_c") == k, F.struct("_p", "_id")))).alias(f"_s{k}")
+                         for k in range(len(outs))])
+                  .select(*key_cols, *[F.transform(f"_s{k}", lambda s: s["_id"]).alias(o) for k, o in enumerate(outs)]))
+    out = df.join(grouped, key_cols, "left")
+    for o in outs:
+        out = out.withColumn(o, F.coalesce(F.col(o), F.array().cast("array<int>")))
+    return out
 
 
 def strip_markers(ids: Column) -> Column:

@@ -103,11 +103,10 @@ def prepare_labels(examples: DataFrame, key_cols: list[str], timestamp_prob: flo
     """
     ex = examples.withColumn("_key", F.concat_ws(":", *key_cols))
     vocab = LB.build_vocabulary(ex, "transcript")
-    t = LB.tokenize(ex, ["_key"], "transcript", vocab, "ids")
     if "prev_transcript" in ex.columns:
-        t = LB.tokenize(t, ["_key"], "prev_transcript", vocab, "prev_ids")
+        t = LB.tokenize_columns(ex, ["_key"], {"ids": "transcript", "prev_ids": "prev_transcript"}, vocab)
     else:
-        t = t.withColumn("prev_ids", F.array().cast("array<int>"))
+        t = LB.tokenize(ex, ["_key"], "transcript", vocab, "ids").withColumn("prev_ids", F.array().cast("array<int>"))
     has_ts = F.coalesce(F.col("has_timestamps"), F.lit(False)) if "has_timestamps" in ex.columns else F.lit(False)
     has_prev = F.coalesce(F.col("has_prev"), F.lit(False)) if "has_prev" in ex.columns else F.lit(False)
     t = t.withColumn("_has_ts", has_ts).withColumn("_has_prev", has_prev)

@@ -26,8 +26,7 @@ def prepared_examples(spark, sf_dir):
 def labelled(spark, sf_dir, p_ts: float = 0.5, p_prev: float = 0.5):
     ex = prepared_examples(spark, sf_dir)
     vocab = LB.build_vocabulary(ex, "transcript")
-    t = LB.tokenize(ex, KEYS, "transcript", vocab, "ids")
-    t = LB.tokenize(t, KEYS, "prev_transcript", vocab, "prev_ids")
+    t = LB.tokenize_columns(ex, KEYS, {"ids": "transcript", "prev_ids": "prev_transcript"}, vocab)
     train_ts = uniform(998, F.col("entry_id"), F.col("slice_idx"), F.lit("train_ts")) < p_ts
     cond_prev = uniform(998, F.col("entry_id"), F.col("slice_idx"), F.lit("cond_prev")) < p_prev
     lab = LB.assemble_labels(F.col("ids"), F.col("prev_ids"), F.col("has_timestamps"), F.col("has_prev"),
