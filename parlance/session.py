@@ -32,9 +32,29 @@ def get_session(app: str = "parlance", cpus: int | str = "*", shuffle_partitions
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``parlance`` importable in Python workers (UDFs and Arrow functions are
+    pickled by module reference): zip the package once and ``addPyFile`` it, which is
+    what ``--py-files`` does; Spark distributes the file to every executor."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="parlance-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "parlance"), "zip", os.path.dirname(pkg), "parlance")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
