@@ -53,23 +53,25 @@ def corpus_metrics(scored: DataFrame, group_cols: list[str]) -> DataFrame:
 
 def orthographic_and_normalized_wer(pairs: DataFrame, group_cols: list[str], ref_col: str, hyp_col: str,
                                     normalizer: Callable[[Column], Column] = TX.basic_normalize) -> DataFrame:
-    """AGG11: WER on raw text and on normalised text with empty references dropped (FLT5)."""
-    pairs = spread_for_cpu(pairs)
-    raw = (pairs.withColumn("_al", A.align(F.col(ref_col), F.col(hyp_col)))
-                .groupBy(*group_cols)
-                .agg(*[F.sum(f"_al.{c}").alias(f"o_{c}") for c in COUNT_COLS]))
-    normed = (pairs.withColumn("_r", normalizer(F.col(ref_col)))
-                   .withColumn("_h", normalizer(F.col(hyp_col)))
-                   .filter(F.length(F.trim(F.col("_r"))) > 0)
-                   .withColumn("_al", A.align(F.col("_r"), F.col("_h")))
-                   .groupBy(*group_cols)
-                   .agg(*[F.sum(f"_al.{c}").alias(f"n_{c}") for c in COUNT_COLS]))
-    j = raw.join(normed, on=group_cols, how="left")
+    """AGG11: WER on raw text and on normalised text with empty references dropped (FLT5).
+
+    One pass: both alignments in the same stage, one aggregate; the empty-reference
+    filter of the normalised side is a conditional sum.
+    """
+    x = (spread_for_cpu(pairs)
+         .withColumn("_r", normalizer(F.col(ref_col)))
+         .withColumn("_h", normalizer(F.col(hyp_col)))
+         .withColumn("_keep", F.length(F.trim(F.col("_r"))) > 0)
+         .withColumn("_o", A.align(F.col(ref_col), F.col(hyp_col)))
+         .withColumn("_n", A.align(F.col("_r"), F.col("_h"))))
+    agg = x.groupBy(*group_cols).agg(
+        *[F.sum(f"_o.{c}").alias(f"o_{c}") for c in COUNT_COLS],
+        *[F.sum(F.when(F.col("_keep"), F.col(f"_n.{c}"))).alias(f"n_{c}") for c in COUNT_COLS])
 
     def w(p):
         return F.round(A.wer(F.col(f"{p}_substitutions"), F.col(f"{p}_deletions"),
                              F.col(f"{p}_insertions"), F.col(f"{p}_hits")), 6)
-    return j.select(*group_cols, w("o").alias("wer_ortho"), w("n").alias("wer_norm"))
+    return agg.select(*group_cols, w("o").alias("wer_ortho"), w("n").alias("wer_norm"))
 
 
 def guarded_ratio(num: Column, den: Column) -> Column:
