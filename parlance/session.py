@@ -31,7 +31,6 @@ def get_session(app: str = "parlance", cpus: int | str = "*", shuffle_partitions
                .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
 
@@ -56,22 +55,20 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator to a shared filesystem. Only when it is
-    unset (local tests) do we create one of our own.
+    On a cluster the setting names a folder that driver and executors share. Only where it is
+    unset (a plain local session) a folder below the warehouse is taken, which Spark itself
+    treats as shared.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="parlance-ckpt-")
+        d = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_parlance_checkpoints"
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
+    df.sparkSession.sparkContext.setCheckpointDir(ensure_checkpoint_dir(df.sparkSession))
     return df.checkpoint(eager=True)
