@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-_CRC_NOTE = "the crc32 folds have no DuckDB form; the queries that need them are tested by brute force"
-
-# words of op4: ASCII letters and digits and everything outside ASCII, A-Z folded
-_OP4_FOLD = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
 OP2 = """
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 marked AS (
-  SELECT *, CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 18
+  SELECT *, CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 17
             ELSE 16 + length(role) END AS frame,
          lag(role) OVER w IS NOT DISTINCT FROM role AND lag(turn) OVER w IS NOT NULL AS goes_on,
          length(text) + length(text) - length(replace(text, '\\', ''))
-           + length(regexp_replace(text, '</?s>|</?SYS>>', '', 'g')) * 0
            + len(regexp_extract_all(text, '</?s>|<</?SYS>>|\\[/?INST\\]|\\[/?ROLE\\]|\\[SEP\\]')) AS escaped
   FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
 agg AS (
@@ -31,4 +25,57 @@ SELECT conv_id, n_turns::BIGINT AS n_turns, turns_sha256, length(loss)::BIGINT A
 FROM agg
 """
 
-ORACLES: dict[str, str] = {"op2_chat_format": OP2}
+_LOWER = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# windows of the items (13 words, or a shorter item whole) against every window of the
+# documents of such a length
+OP4 = f"""
+WITH iw AS (
+  SELECT DISTINCT item_id, regexp_extract_all({_LOWER.format(t='text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n, w[p:p + least(13, len(w)) - 1] AS words
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM iw WHERE len(w) > 0)),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce({_LOWER.format(t='text')}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dw AS (
+  SELECT r, n, p, w[p:p + n - 1] AS words
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hit AS (SELECT r, dw.n, p, item_id FROM dw JOIN windows USING (n, words)),
+covered AS (
+  SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT r, n, p FROM hit))
+  GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""
+
+# all pairs that share a shingle, then the closure of the links
+OP8 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(coalesce({_LOWER.format(t='text')}, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, words FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda p: w[p:p + 4])
+                               WHEN len(w) > 0 THEN [w] ELSE [] END) AS words FROM d)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b USING (words) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes sx ON sx.doc_id = x JOIN sizes sy ON sy.doc_id = y
+  WHERE 100 * o >= 80 * (sx.n + sy.n - o)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION SELECT e.y, r.root FROM reach r JOIN edges e ON e.x = r.doc_id WHERE r.root < e.y)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(root) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.doc_id = d.doc_id
+GROUP BY d.doc_id, n
+"""
+
+ORACLES: dict[str, str] = {"op2_chat_format": OP2, "op4_decontamination": OP4, "op8_jaccard_join": OP8}
