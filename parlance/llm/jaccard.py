@@ -9,12 +9,19 @@ and summed per pair, which is exact in any order of the shingles.
 No group of documents is expanded into all its pairs:
 
 1. Equal sets are one class from the start, and only classes take part.
-2. Every prefix shingle picks one of its classes as the pivot and pairs it with the others; a
-   group of near copies is joined by such stars, linear in its size.
+2. Every prefix shingle picks one of its classes as the pivot, the one that shares most prefix
+   shingles with others (the original of a group of near copies), and pairs it with the
+   rest; a group is joined by such stars, linear in its size.
 3. Components of the links found are computed; a shingle whose classes all lie in one
    component is done. For the rest, pairs across components are checked, so no link between
    different components is lost; pairs inside a component cannot change the result.
 
+Prefixes are longer than the shortest sufficient ones, so that a linked pair meets in a tenth
+of its shingles there, not in one only; pairs that meet in fewer are dropped unread. So are
+pairs across components of which one has fewer shingles in common with all other open
+classes together than the link needs: that ends the edited copies of a group that are too
+far from its original, without a look at the group's pairs. All these bounds are exact.
+
 Edge cases: null and wordless texts have no shingles and are alone in their component; texts
 of one to four words have one shingle, the whole sequence; repeated rows are members of one
 class; rows with a null id take no part in the naming of components and get a null
@@ -35,9 +42,12 @@ from parlance.llm.common import Words, bitmap, chunks, has_bits, map_arrow, mix,
 GRAM = 5
 #: Similarity threshold in percent.
 PERCENT = 80
-#: Counters of the sketch of heavy shingles (one byte each when broadcast), and the number of
-#: times a task must see a counter's shingles before it reports them.
-SKETCH = 1 << 20
+#: Prefixes reach this share (percent) beyond the least that two linked sets must meet in, and
+#: in return must meet in as many shingles.
+EXTRA_PERCENT = 10
+#: Counters of the sketch of heavy shingles (one byte each when broadcast: 4 MB), and the number
+#: of times a task must see a counter's shingles before it reports them.
+SKETCH = 1 << 22
 SKETCH_LEAST = 4
 #: Fragments of the global order.
 FRAGMENTS = 8
@@ -76,10 +86,11 @@ def _signatures(docs: DataFrame, id_type: str) -> DataFrame:
         for b in batches:
             for lo, hi, ss in _texts(b, 1):
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.array([len(s) for s in ss], pa.int32()),
-                     pa.array([set_key(s) for s in ss], pa.int64())], ["id", "n", "k"])
+                    [b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo),
+                     pa.array([len(s) for s in ss], pa.int32()), pa.array([set_key(s) for s in ss], pa.int64())],
+                    ["id", "x", "n", "k"])
 
-    return map_arrow(docs, run, f"id {id_type}, n int, k long")
+    return map_arrow(docs, run, f"id {id_type}, x long, n int, k long")
 
 
 def _heavy(docs: DataFrame) -> np.ndarray:
@@ -87,13 +98,14 @@ def _heavy(docs: DataFrame) -> np.ndarray:
     any such function makes a valid order. Sparse rows (counter, count) are summed in Spark;
     at most ``SKETCH`` of them reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.int64)
+        counts = np.zeros(SKETCH, np.int32)
         for b in batches:
             for _, _, ss in _texts(b, 0):
                 if ss:
-                    counts += np.bincount((np.concatenate(ss) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                    at, n = np.unique((np.concatenate(ss) % np.uint64(SKETCH)).astype(np.int64), return_counts=True)
+                    counts[at] += n.astype(np.int32)
         at = np.flatnonzero(counts >= np.maximum(SKETCH_LEAST, 4 * counts.mean()))
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["c", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at].astype(np.int64))], ["c", "n"])
 
     sums = map_arrow(docs.select("t"), run, "c int, n long").groupBy("c").agg(F.sum("n").alias("n"))
     out = np.zeros(SKETCH, np.uint8)
@@ -116,8 +128,13 @@ def fragment(s: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
-    """A pair of sets that links shares a shingle of both prefixes."""
-    return n - -(-percent * n // 100) + 1
+    """Two linked sets of n and m shingles share ``shared(min(n, m))`` shingles of both prefixes:
+    at most n - ceil(percent * n / 100) of a set's shingles are not in the other one."""
+    return n - -(-percent * n // 100) + shared(n)
+
+
+def shared(n: int) -> int:
+    return max(1, -(-EXTRA_PERCENT * n // 100))
 
 
 def _prefixes(docs: DataFrame, weight) -> DataFrame:
@@ -140,16 +157,15 @@ def _prefixes(docs: DataFrame, weight) -> DataFrame:
 
 
 def _segments(docs: DataFrame, wanted, weight) -> DataFrame:
-    """(n, k, f, s): the shingles of each class by fragment, for the classes in the bitmap."""
+    """(n, k, f, s): the shingles by fragment of the rows in the bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, bits = weight.value, wanted.value
         for b in batches:
+            b = b.filter(pa.array(has_bits(bits, b.column(1).to_numpy(zero_copy_only=False))))
             for _, _, ss in _texts(b, 0):
-                keys = np.array([set_key(s) for s in ss], np.int64)
-                keep = [(k, s) for k, s, has in zip(keys.tolist(), ss, has_bits(bits, keys), strict=True) if has and len(s)]
                 ns, ks, fs, parts = [], [], [], []
-                for k, s in keep:
-                    f = fragment(s, w)
+                for s in ss:
+                    f, k = fragment(s, w), set_key(s)
                     for i in np.unique(f).tolist():
                         ns.append(len(s))
                         ks.append(k)
@@ -161,7 +177,7 @@ def _segments(docs: DataFrame, wanted, weight) -> DataFrame:
                         [pa.array(ns, pa.int32()), pa.array(ks, pa.int64()), pa.array(fs, pa.int32()),
                          pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts)))], ["n", "k", "f", "s"])
 
-    return map_arrow(docs.select("t"), run, "n int, k long, f int, s array<long>")
+    return map_arrow(docs.select("t", "x"), run, "n int, k long, f int, s array<long>")
 
 
 def _long_enough(a: str, b: str, percent: int):
@@ -169,21 +185,41 @@ def _long_enough(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _links(docs: DataFrame, pairs: DataFrame, weight, percent: int) -> DataFrame:
+def _sets_of(docs: DataFrame, sign: DataFrame, classes: DataFrame, weight) -> DataFrame:
+    """The shingles by fragment of the classes (n, k), from one text each."""
+    rows = stash(sign.join(classes, ["n", "k"]).groupBy("n", "k").agg(F.min("x").alias("x")), "rows")
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(rows, "x", rows.count()))
+    return stash(_segments(docs, wanted, weight), "segments")
+
+
+def _links(seg: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The candidate pairs (an, ak, bn, bk) that link, by summed partial overlaps."""
-    spark = docs.sparkSession
-    ends = pairs.select(F.col("ak").alias("k")).union(pairs.select(F.col("bk").alias("k"))).distinct()
-    wanted = spark.sparkContext.broadcast(bitmap(ends, "k", ends.count()))
-    seg = _segments(docs, wanted, weight).groupBy("n", "k", "f").agg(F.first("s").alias("s"))
-    seg = stash(seg, "segments")
     left = seg.select(F.col("n").alias("an"), F.col("k").alias("ak"), "f", F.col("s").alias("x"))
     right = seg.select(F.col("n").alias("bn"), F.col("k").alias("bk"), "f", F.col("s").alias("y"))
     part = (pairs.join(left, ["an", "ak"]).join(right, ["bn", "bk", "f"])
-            .select("an", "ak", "bn", "bk", F.size(F.array_intersect("x", "y")).cast("long").alias("o")))
-    both = part.groupBy("an", "ak", "bn", "bk").agg(F.sum("o").alias("o"))
+            .select("an", "ak", "bn", "bk", "f", F.size(F.array_intersect("x", "y")).cast("long").alias("o")))
+    # a class may have been sent twice (false positives of the bitmap): a fragment counts once
+    once = part.groupBy("an", "ak", "bn", "bk", "f").agg(F.max("o").alias("o"))
+    both = once.groupBy("an", "ak", "bn", "bk").agg(F.sum("o").alias("o"))
     return both.where(F.col("o") * 100 >= (F.col("an") + F.col("bn") - F.col("o")) * percent).select("ak", "bk")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("an").alias("n"), F.col("ak").alias("k")).union(
+        pairs.select(F.col("bn").alias("n"), F.col("bk").alias("k"))).distinct()
+
+
+def _open(named: DataFrame) -> DataFrame:
+    """(g, n, k, c) for the shingles whose classes lie in more than one component, and of those
+    the classes that have enough such shingles to link across components."""
+    for _ in range(2):
+        groups = named.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("g")
+        named = stash(named.join(groups, "g"), "open")
+        able = named.groupBy("n", "k").agg(F.count("*").alias("o")).where(F.col("o") >= _shared("n")).select("n", "k")
+        named = named.join(able, ["n", "k"])
+    return stash(named, "open")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(k, c): the smallest key of each component of the edges (ak, bk); nodes without an edge
     do not appear. Each round turns every node's links to its smallest neighbour and shortens
@@ -214,46 +250,77 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges.select(F.col("v").alias("k"), F.col("v").alias("c"))).distinct()
 
 
+def _shared(n: str):
+    """``shared`` as an expression."""
+    return F.greatest(F.lit(1), F.ceil(F.col(n) * EXTRA_PERCENT / 100))
+
+
+def _need(percent: int):
+    """Overlap of a linked pair, at least."""
+    return F.ceil((F.col("an") + F.col("bn")) * percent / (100 + percent) - 1e-9)
+
+
+def _need_shared(percent: int):
+    """Shingles of both prefixes that a linked pair has in common, at least: the prefix less what a
+    set may have outside the overlap, for the one of the two that allows less."""
+    def of(n: str):
+        return _shared(n) - F.ceil(F.col(n) * percent / 100) + _need(percent)  # prefix_size(n) - n + need
+
+    return F.greatest(F.lit(1), F.least(of("an"), of("bn")))
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.xxhash64(id_col, text_col).alias("x"))
     sign = stash(_signatures(src, id_type), "signatures")
     weight = spark.sparkContext.broadcast(_heavy(src))
-    # prefix shingles with two classes at least, their pivot, and the classes beside it
+    # prefix shingles with two classes at least
     heads = _prefixes(src, weight).repartition("g").distinct()
-    # the pivot varies with the shingle, so a group of near copies gets several stars
-    pick = F.xxhash64(F.pmod(F.col("g"), F.lit(PIVOTS)), F.col("k"))
-    pivots = heads.groupBy("g").agg(F.count("*").alias("m"), F.min_by(F.struct("n", "k"), pick).alias("p")).where("m > 1")
-    heads = stash(heads.join(pivots, "g").select("g", "n", "k", "p"), "prefixes")
-    ordered = F.when((F.col("n") < F.col("pn")) | ((F.col("n") == F.col("pn")) & (F.col("k") < F.col("pk"))),
-                     F.struct(F.col("n").alias("an"), F.col("k").alias("ak"), F.col("pn").alias("bn"), F.col("pk").alias("bk"))
-                     ).otherwise(F.struct(F.col("pn").alias("an"), F.col("pk").alias("ak"), F.col("n").alias("bn"), F.col("k").alias("bk")))
-    stars = (heads.select("n", "k", F.col("p.n").alias("pn"), F.col("p.k").alias("pk"))
-             .where("n <> pn OR k <> pk").where(_long_enough("n", "pn", percent))
-             .select(ordered.alias("e")).select("e.*").distinct())
-    links = stash(_links(src, stash(stars, "stars"), weight, percent), "links")
+    groups = heads.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
+    heads = stash(heads.join(groups, "g"), "prefixes")
+    ties = heads.groupBy("n", "k").agg(F.sum(F.col("m") - 1).alias("ties"))
+    ranked = heads.join(ties, ["n", "k"])
+    pivots = ranked.groupBy("g").agg(F.max_by(F.struct("n", "k"), F.struct("ties", "k")).alias("p"))
+    stars = (ranked.join(pivots, "g").select("n", "k", F.col("p.n").alias("pn"), F.col("p.k").alias("pk"))
+             .where("n <> pn OR k <> pk").where(_long_enough("n", "pn", percent)).select(_pair("n", "k", "pn", "pk").alias("e"))
+             .groupBy("e.an", "e.ak", "e.bn", "e.bk").agg(F.count("*").alias("o"))
+             .where(F.col("o") * STAR_SHARE >= _need_shared(percent)).drop("o"))
+    stars = stash(stars, "stars")
+    links = stash(_links(_sets_of(src, sign, _ends(stars), weight), stars, percent), "links")
     found = components(links)
-    # shingles whose classes lie in more than one component: pairs across components are left
-    named = heads.join(found, "k", "left").select("g", "n", "k", F.coalesce("c", "k").alias("c"),
-                                                  F.col("p.n").alias("pn"), F.col("p.k").alias("pk"))
-    open_g = named.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("g")
-    rest = stash(named.join(open_g, "g"), "open")
-    a = rest.select("g", F.col("n").alias("an"), F.col("k").alias("ak"), F.col("c").alias("ac"), "pn", "pk")
-    b = rest.select("g", F.col("n").alias("bn"), F.col("k").alias("bk"), F.col("c").alias("bc"))
+    rest = _open(heads.join(found, "k", "left").select("g", "n", "k", F.coalesce("c", "k").alias("c")))
+    seg = _sets_of(src, sign, rest.select("n", "k").distinct(), weight)
+    # shingles that a class has in common with any other open class: a bound of every overlap
+    grams = seg.select("n", "k", F.explode("s").alias("g")).repartition("g")
+    common = grams.join(grams.groupBy("g").agg(F.count("*").alias("m")).where("m > 1"), "g").groupBy("n", "k").agg(
+        F.count("*").alias("common"))
+    rest = stash(rest.join(common, ["n", "k"]).where(F.col("common") * 100 >= F.col("n") * percent), "able")
+    a = rest.select("g", F.col("n").alias("an"), F.col("k").alias("ak"), F.col("c").alias("ac"), F.col("common").alias("am"))
+    b = rest.select("g", F.col("n").alias("bn"), F.col("k").alias("bk"), F.col("c").alias("bc"), F.col("common").alias("bm"))
     cross = (a.join(b, "g").where("ac <> bc AND (an < bn OR (an = bn AND ak < bk))")
-             .where(_long_enough("an", "bn", percent))
-             .where("NOT (an = pn AND ak = pk) AND NOT (bn = pn AND bk = pk)")  # checked as stars
-             .select("an", "ak", "bn", "bk").distinct())
-    more = _links(src, stash(cross, "cross"), weight, percent)
+             .where(_long_enough("an", "bn", percent) & (F.least("am", "bm") >= _need(percent)))
+             .groupBy("an", "ak", "bn", "bk").agg(F.count("*").alias("o")).where(F.col("o") >= _need_shared(percent)).drop("o")
+             .join(stars, ["an", "ak", "bn", "bk"], "left_anti"))  # the stars have been checked
+    more = _links(seg, stash(cross, "cross"), percent)
     every = components(links.union(more))
-    named = sign.join(every, "k", "left").select("id", "n", F.coalesce("c", "k").alias("c"), "k")
+    named = sign.join(every, "k", "left").select("id", "n", F.coalesce("c", "k").alias("c"))
     low = named.where("n > 0").groupBy("c").agg(F.min("id").alias("low"))
     return (named.join(low, "c", "left")
             .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("id")).alias("component_id")))
 
 
-#: Pivots that a group of near copies can have.
-PIVOTS = 4
+def _pair(n: str, k: str, m: str, j: str):
+    """The two classes in a fixed order."""
+    def row(an: str, ak: str, bn: str, bk: str):
+        return F.struct(F.col(an).alias("an"), F.col(ak).alias("ak"), F.col(bn).alias("bn"), F.col(bk).alias("bk"))
+
+    return F.when((F.col(n) < F.col(m)) | ((F.col(n) == F.col(m)) & (F.col(k) < F.col(j))), row(n, k, m, j)).otherwise(
+        row(m, j, n, k))
+
+
+#: A star pair is checked early if its pivot is met in 1 / STAR_SHARE of the shingles that a linked
+#: pair shares at least (several pivots divide them); what is left out here is met in step 3.
+STAR_SHARE = 4
