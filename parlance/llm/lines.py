@@ -229,14 +229,27 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars
     """``docs`` with the later repeated runs deleted from the texts: the same rows and columns, and
     the columns of ``COUNTS`` with ``counts``. ``chars_col``, where it exists, is set to the
     new length of the texts that changed."""
-    found = repeats(docs, id_col, text_col, min_words)
+    found = stash(repeats(docs, id_col, text_col, min_words), "repeats")
     names = docs.columns
     at = names.index(text_col)
     chars = names.index(chars_col) if chars_col in names else None
-    own = [F.col(f"d.`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
-    joined = docs.alias("d").join(
-        found.alias("f"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("f.id")) & (F.xxhash64(F.col(f"d.`{text_col}`")) == F.col("f.h")),
-        "left").select(*own, "f.copy", "f.starts")
+    src = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
+                      F.xxhash64(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))).alias("x"))
+    # only the texts that something may be deleted from are shuffled to meet their runs
+    mark = found.select(F.xxhash64("id", "h").alias("x"))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(mark, "x", found.count()))
+
+    def part(touched: bool) -> DataFrame:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array(has_bits(bits.value, b.column(len(names)).to_numpy(zero_copy_only=False)) == touched))
+
+        return map_arrow(src, keep, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema)).drop("x")
+
+    key, text = f"c{names.index(id_col)}", f"c{at}"
+    with_runs = part(True).join(found, F.col(key).eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("h")), "left").drop(
+        "id", "h")
+    joined = with_runs.unionByName(part(False), allowMissingColumns=True)
     plain = names + (["n_words", "n_removed", "n_runs"] if counts else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
