@@ -236,7 +236,9 @@ def wer(s: Column, d: Column, i: Column, h: Column) -> Column:
 
 
 def wil(s: Column, d: Column, i: Column, h: Column) -> Column:
-    """1 - (H / (H + S + D)) * (H / (H + S + I)); null when either side is empty."""
+    """1 - (H / (H + S + D)) * (H / (H + S + I)); 1 for an empty prediction, null when the
+    reference is empty."""
     n = h + s + d
     m = h + s + i
-    return F.when((n > 0) & (m > 0), F.lit(1.0) - (h.cast("double") / n) * (h.cast("double") / m))
+    both = F.when(m > 0, (h.cast("double") / n) * (h.cast("double") / m)).otherwise(F.lit(0.0))
+    return F.when(n > 0, F.lit(1.0) - both)

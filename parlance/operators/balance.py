@@ -12,11 +12,9 @@ def spread_for_cpu(df: DataFrame, factor: int = 4) -> DataFrame:
     in few tasks; an expensive per-row Python stage (alignment, NFKC) would then run on
     a handful of cores. Round-robin gives equal row counts per task; ``factor`` tasks
     per core smooth out rows of unequal cost. An explicit count is not coalesced by AQE.
-    Inputs that already have that many partitions are left as they are.
+    The partitions of ``df`` are not counted first: under AQE that would run the stages
+    before it while the plan is only being built.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= factor * cores:
-        return df  # already spread (the usual case for large inputs): no extra shuffle
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), factor * cores)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), factor * spark.sparkContext.defaultParallelism)
     return df.repartition(n)

@@ -21,9 +21,9 @@ def validate_weights(n_checkpoints: int, weights: list[float] | None) -> list[fl
     if not weights:
         return [1.0 / n_checkpoints] * n_checkpoints
     if len(weights) != n_checkpoints:
-        raise ValueError("Number of weights must match number of checkpoints.")
+        raise ValueError(f"{len(weights)} weights were given for {n_checkpoints} checkpoints")
     if abs(sum(weights) - 1.0) >= 1e-6:
-        raise ValueError("Weights must sum to 1.")
+        raise ValueError(f"the weights add up to {sum(weights)}, not to 1")
     return list(weights)
 
 

@@ -27,7 +27,7 @@ from parlance.sources import files as FS
 from parlance.sources.sinks import pending
 
 
-def build_dataset(spark: SparkSession, root: str, audio_glob: str = "*.mp3", segments_glob: str = "*.json",
+def build_dataset(spark: SparkSession, root: str, audio_glob: str = "audio.*", segments_glob: str = "transcript.*.json",
                   metadata_glob: str = "metadata.json", slice_length: float = 30, quality_threshold: float = 0.0,
                   per_segment_quality_threshold: float = 0.0, exclude_filters: list[str] | None = None,
                   copy_metadata_fields: list[str] | None = None, max_source_entries: int | None = None,
@@ -96,9 +96,8 @@ def prepare_labels(examples: DataFrame, key_cols: list[str], timestamp_prob: flo
                    shift_augmentation: bool = False) -> DataFrame:
     """Pipeline 3.3 on the text side (audio features are out of scope).
 
-    When either probability is below 1, attribute ratios are estimated on a bounded
-    ordered sample (AGG7) and turned into relative sampling ratios (AGG8); like the
-    reference, the timestamp probability drives both ratios unless ``shared_ratio`` is
+    When either probability is below 1, the exact attribute shares of all rows are turned
+    into relative sampling ratios (AGG8); the timestamp probability drives both ratios unless ``shared_ratio`` is
     False. Output: keys + ``labels``, legal rows only (FLT4).
     """
     ex = examples.withColumn("_key", F.concat_ws(":", *key_cols))
@@ -112,10 +111,9 @@ def prepare_labels(examples: DataFrame, key_cols: list[str], timestamp_prob: flo
     t = t.withColumn("_has_ts", has_ts).withColumn("_has_prev", has_prev)
     p_ts, p_prev = F.lit(float(timestamp_prob)), F.lit(float(prev_prob))
     if timestamp_prob < 1.0 or prev_prob < 1.0:
-        est = SM.estimate_ratios(t, "_key", {
-            "has_removable_timestamps": F.col("_has_ts") & LB.strippable(F.col("ids")),
-            "has_prev": F.col("_has_prev")})
-        ratios = {r["attribute"]: r["estimated_ratio"] for r in est.collect()}  # two scalars
+        # exact shares over all rows: one map-side aggregate, two scalars
+        shares = {"has_removable_timestamps": F.col("_has_ts") & LB.strippable(F.col("ids")), "has_prev": F.col("_has_prev")}
+        ratios = t.agg(*[F.avg(c.cast("double")).alias(k) for k, c in shares.items()]).first().asDict()
         def rel(prob, r):
             return min(1.0, prob / r) if r and r > 0 else 1.0
         p_ts = F.lit(rel(timestamp_prob, ratios.get("has_removable_timestamps")))

@@ -59,7 +59,9 @@ def read_whole_files(spark: SparkSession, root: str, glob: str, out_col: str, pa
     """
     df = (spark.read.format("text").option("wholetext", "true")
           .option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root))
-    return df.select(F.input_file_name().alias(path_col), F.col("value").alias(out_col))
+    # input_file_name() is URL-encoded (a plus sign is not), the binaryFile path is not
+    name = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
+    return df.select(name.alias(path_col), F.col("value").alias(out_col))
 
 
 def _same_path(a, b):

@@ -3,6 +3,7 @@ counts (SNK4) and reuse of finished work (SNK5 / JOIN5)."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,5 +48,7 @@ def existing(spark: SparkSession, path: str, reader=None) -> DataFrame | None:
     """Previously written results, or None when there are none."""
     try:
         return reader(path) if reader else spark.read.parquet(path)
-    except Exception:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None

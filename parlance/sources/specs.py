@@ -12,12 +12,23 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# split on ':' except inside [...] (so 'train[10:20]' stays whole)
-_SPEC_SPLIT = re.compile(r":(?=(?:[^\[\]]|\[[^\[\]]*\])*$)")
-_SPLIT_RANGE = re.compile(r"^(?P<name>[^\[\]]+)(?:\[(?P<a>-?\d*)(?P<pct1>%?):(?P<b>-?\d*)(?P<pct2>%?)\])?$")
+_SPLIT_RANGE = re.compile(r"(?P<name>[^\[\]]+)(?:\[(?P<a>\d*):(?P<b>\d*)\])?")
+
+
+def _outside_brackets(spec: str) -> list[str]:
+    """The parts of ``spec`` between the colons that lie outside square brackets."""
+    parts, depth = [""], 0
+    for c in spec:
+        depth += (c == "[") - (c == "]")
+        if c == ":" and depth <= 0:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return parts
 
 
 @dataclass(frozen=True)
@@ -29,16 +40,14 @@ class DatasetSpec:
 
 
 def parse_dataset_spec(spec: str, default_split: str = "train") -> DatasetSpec:
-    """SRC4: ``name[:split]`` with ``split[a:b]`` absolute slicing; percent units are
-    rejected."""
-    parts = _SPEC_SPLIT.split(spec)
+    """SRC4: ``name[:split]`` with ``split[a:b]`` absolute slicing; percent units and
+    positions counted from the end are rejected."""
+    parts = _outside_brackets(spec)
     name = parts[0]
     split = parts[1] if len(parts) == 2 else default_split
-    m = _SPLIT_RANGE.match(split)
+    m = _SPLIT_RANGE.fullmatch(split)
     if not m:
-        raise ValueError(f"Unable to support the split definition: {split}")
-    if m.group("pct1") or m.group("pct2"):
-        raise ValueError(f"Unable to support the split definition: {split} (percent units)")
+        raise ValueError(f"cannot read split {split!r}: a name, or name[a:b] with row numbers, is expected")
     a = int(m.group("a")) if m.group("a") else None
     b = int(m.group("b")) if m.group("b") else None
     return DatasetSpec(name, m.group("name"), a, b)
@@ -73,8 +82,8 @@ def read_prepared(spark: SparkSession, path: str, fallback: Callable[[], DataFra
     missing path use ``fallback`` (the remote copy in the reference)."""
     try:
         return spark.read.parquet(path)
-    except Exception:
-        if fallback is None:
+    except AnalysisException as e:
+        if fallback is None or e.getCondition() != "PATH_NOT_FOUND":
             raise
         return fallback()
 
