@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from parlance.llm.common import chunks, map_arrow, mix, text_buffer
 from parlance.llm.pieces import Memo, class_table, pieces
 
+#: Pieces in each of the memo's two generations, about 50 MB a worker together.
+MEMO_PIECES = 1 << 17
 #: Mean keys per bucket of the perfect hash.
 BUCKET_LOAD = 2
 
@@ -100,7 +102,7 @@ class Codec:
     def __init__(self, vocab: list[bytes], perfect: PerfectHash, classes: np.ndarray):
         self.vocab, self.perfect, self.classes = vocab, perfect, classes
         self.rank = {t: i for i, t in enumerate(vocab)}
-        self.memo = Memo(lambda p: self._learn([p])[0])
+        self.memo = Memo(lambda p: self._learn([p])[0], limit=MEMO_PIECES)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a piece that is no token: heap over linked bytes, lowest rank first."""
