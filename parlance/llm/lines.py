@@ -44,6 +44,8 @@ GRAM = 20
 MIN_WORDS = 50
 #: Runs that a task holds to find the first of each among its own before they are shuffled.
 HOLD_RUNS = 500_000
+#: Rows whose result is built at a time.
+SLICE_ROWS = 500
 
 
 def winnow(grams: np.ndarray, window: int) -> np.ndarray:
@@ -239,34 +241,49 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars
     mark = found.select(F.xxhash64("id", "h").alias("x"))
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(mark, "x", found.count()))
 
-    def part(touched: bool) -> DataFrame:
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield b.filter(pa.array(has_bits(bits.value, b.column(len(names)).to_numpy(zero_copy_only=False)) == touched))
-
-        return map_arrow(src, keep, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema)).drop("x")
-
-    key, text = f"c{names.index(id_col)}", f"c{at}"
-    with_runs = part(True).join(found, F.col(key).eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("h")), "left").drop(
-        "id", "h")
-    joined = with_runs.unionByName(part(False), allowMissingColumns=True)
+    k = len(names)
     plain = names + (["n_words", "n_removed", "n_runs"] if counts else [])
+    fields = [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema)]
+    if counts:
+        fields += [f"c{k + i} long" for i in range(3)]
+
+    def result(b: pa.RecordBatch, copy: list, starts: list) -> pa.RecordBatch:
+        got = [cut(t.as_py(), c, s, min_words) if (counts or c is not None) else (None, 0, 0, 0)
+               for t, c, s in zip(b.column(at), copy, starts, strict=True)]
+        cols = list(b.columns[:k])
+        changed = pa.array([g[2] > 0 for g in got])
+        cols[at] = pc.if_else(changed, pa.array([g[0] for g in got], pa.string()), cols[at])
+        if chars is not None:
+            cols[chars] = pc.if_else(changed, pc.utf8_length(cols[at]).cast(cols[chars].type), cols[chars])
+        if counts:
+            cols += [pa.array([g[i] for g in got], pa.int64()) for i in (1, 2, 3)]
+        return pa.RecordBatch.from_arrays(cols, names=[f"c{i}" for i in range(len(cols))])
+
+    def marked(b: pa.RecordBatch) -> np.ndarray:
+        return has_bits(bits.value, b.column(k).to_numpy(zero_copy_only=False))
+
+    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(pa.array(marked(b)))
+            yield pa.RecordBatch.from_arrays(b.columns[:k], names=[f"c{i}" for i in range(k)])
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(pa.array(~marked(b)))
+            for lo in range(0, len(b), SLICE_ROWS):
+                part = b.slice(lo, SLICE_ROWS)
+                yield result(part, [None] * len(part), [None] * len(part))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = len(names)
         for b in batches:
-            got = [cut(t.as_py(), c, s, min_words) if (counts or c is not None) else (None, 0, 0, 0)
-                   for t, c, s in zip(b.column(at), b.column(k).to_pylist(), b.column(k + 1).to_pylist(), strict=True)]
-            cols = list(b.columns[:k])
-            changed = pa.array([g[2] > 0 for g in got])
-            cols[at] = pc.if_else(changed, pa.array([g[0] for g in got], pa.string()), cols[at])
-            if chars is not None:
-                cols[chars] = pc.if_else(changed, pc.utf8_length(cols[at]).cast(cols[chars].type), cols[chars])
-            if counts:
-                cols += [pa.array([g[i] for g in got], pa.int64()) for i in (1, 2, 3)]
-            yield pa.RecordBatch.from_arrays(cols, names=[f"c{i}" for i in range(len(cols))])
+            for lo in range(0, len(b), SLICE_ROWS):
+                part = b.slice(lo, SLICE_ROWS)
+                yield result(part, part.column(k).to_pylist(), part.column(k + 1).to_pylist())
 
-    fields = [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema)]
-    if counts:
-        fields += [f"c{len(names) + i} long" for i in range(3)]
-    return map_arrow(joined, run, ", ".join(fields)).toDF(*plain)
+    # one Python worker a task: the rows that nothing is deleted from get their result in the
+    # pass that finds them
+    key, text = f"c{names.index(id_col)}", f"c{at}"
+    with_runs = map_arrow(src, touched, ", ".join(fields[:k])).join(
+        found, F.col(key).eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("h")), "left").drop("id", "h")
+    return map_arrow(with_runs, run, ", ".join(fields)).unionByName(
+        map_arrow(src, untouched, ", ".join(fields))).toDF(*plain)
