@@ -20,7 +20,12 @@ Prefixes are longer than the shortest sufficient ones, so that a linked pair mee
 of its shingles there, not in one only; pairs that meet in fewer are dropped unread. So are
 pairs across components of which one has fewer shingles in common with all other open
 classes together than the link needs: that ends the edited copies of a group that are too
-far from its original, without a look at the group's pairs. All these bounds are exact.
+far from its original, without a look at the group's pairs. Two classes that were both
+compared with the same pivot share at most as many shingles as the pivot shares with either,
+and besides those only shingles that the pivot lacks; a pair that cannot reach the needed
+overlap so is not made. Nor is one whose sets differ too much by their parities: each set has
+a bitmap of the parity of its shingles in 1,024 cells, and two sets differ in one shingle at
+least for each bit that differs. All these bounds are exact.
 
 Edge cases: null and wordless texts have no shingles and are alone in their component; texts
 of one to four words have one shingle, the whole sequence; repeated rows are members of one
@@ -51,6 +56,8 @@ SKETCH = 1 << 22
 SKETCH_LEAST = 4
 #: Fragments of the global order.
 FRAGMENTS = 8
+#: Cells of the parity bitmap of a set, in words of 64.
+PARITY_WORDS = 16
 
 
 def sets(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
@@ -127,6 +134,12 @@ def fragment(s: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.where(weight[(s % np.uint64(len(weight))).astype(np.int64)] > 0, FRAGMENTS - 1, light).astype(np.int32)
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each cell, as ``PARITY_WORDS`` words."""
+    cells = np.bincount((s % np.uint64(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def prefix_size(n: int, percent: int = PERCENT) -> int:
     """Two linked sets of n and m shingles share ``shared(min(n, m))`` shingles of both prefixes:
     at most n - ceil(percent * n / 100) of a set's shingles are not in the other one."""
@@ -157,15 +170,17 @@ def _prefixes(docs: DataFrame, weight) -> DataFrame:
 
 
 def _segments(docs: DataFrame, wanted, weight) -> DataFrame:
-    """(n, k, f, s): the shingles by fragment of the rows in the bitmap."""
+    """(n, k, f, s, z): the shingles by fragment of the rows in the bitmap; z is the set's parity
+    bitmap, in one of its rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, bits = weight.value, wanted.value
         for b in batches:
             b = b.filter(pa.array(has_bits(bits, b.column(1).to_numpy(zero_copy_only=False))))
             for _, _, ss in _texts(b, 0):
-                ns, ks, fs, parts = [], [], [], []
+                ns, ks, fs, parts, zs = [], [], [], [], []
                 for s in ss:
                     f, k = fragment(s, w), set_key(s)
+                    zs += [parity(s)] + [None] * (len(np.unique(f)) - 1) if len(s) else []
                     for i in np.unique(f).tolist():
                         ns.append(len(s))
                         ks.append(k)
@@ -175,9 +190,10 @@ def _segments(docs: DataFrame, wanted, weight) -> DataFrame:
                     ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ns, pa.int32()), pa.array(ks, pa.int64()), pa.array(fs, pa.int32()),
-                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts)))], ["n", "k", "f", "s"])
+                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts))),
+                         pa.array(zs, pa.list_(pa.int64()))], ["n", "k", "f", "s", "z"])
 
-    return map_arrow(docs.select("t", "x"), run, "n int, k long, f int, s array<long>")
+    return map_arrow(docs.select("t", "x"), run, "n int, k long, f int, s array<long>, z array<long>")
 
 
 def _long_enough(a: str, b: str, percent: int):
@@ -192,16 +208,31 @@ def _sets_of(docs: DataFrame, sign: DataFrame, classes: DataFrame, weight) -> Da
     return stash(_segments(docs, wanted, weight), "segments")
 
 
-def _links(seg: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The candidate pairs (an, ak, bn, bk) that link, by summed partial overlaps."""
+def _overlaps(seg: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The candidate pairs (an, ak, bn, bk) with their overlap o, if any: summed partial overlaps."""
     left = seg.select(F.col("n").alias("an"), F.col("k").alias("ak"), "f", F.col("s").alias("x"))
     right = seg.select(F.col("n").alias("bn"), F.col("k").alias("bk"), "f", F.col("s").alias("y"))
     part = (pairs.join(left, ["an", "ak"]).join(right, ["bn", "bk", "f"])
             .select("an", "ak", "bn", "bk", "f", F.size(F.array_intersect("x", "y")).cast("long").alias("o")))
     # a class may have been sent twice (false positives of the bitmap): a fragment counts once
     once = part.groupBy("an", "ak", "bn", "bk", "f").agg(F.max("o").alias("o"))
-    both = once.groupBy("an", "ak", "bn", "bk").agg(F.sum("o").alias("o"))
-    return both.where(F.col("o") * 100 >= (F.col("an") + F.col("bn") - F.col("o")) * percent).select("ak", "bk")
+    return once.groupBy("an", "ak", "bn", "bk").agg(F.sum("o").alias("o"))
+
+
+def _links(overlaps: DataFrame, percent: int) -> DataFrame:
+    return overlaps.where(F.col("o") * 100 >= (F.col("an") + F.col("bn") - F.col("o")) * percent).select("ak", "bk")
+
+
+def _homes(stars: DataFrame, overlaps: DataFrame) -> DataFrame:
+    """(n, k, pn, pk, po): for each class, the leading pivot among those that it was compared with
+    and, for a pivot, itself, and the overlap with it."""
+    pairs = overlaps.join(stars, ["an", "ak", "bn", "bk"])
+    first = (F.col("an") == F.col("p.n")) & (F.col("ak") == F.col("p.k"))
+    leaf = pairs.select(F.when(first, F.col("bn")).otherwise(F.col("an")).alias("n"),
+                        F.when(first, F.col("bk")).otherwise(F.col("ak")).alias("k"), "p", "o")
+    own = stars.select(F.col("p.n").alias("n"), F.col("p.k").alias("k"), "p", F.col("p.n").cast("long").alias("o"))
+    home = leaf.union(own).groupBy("n", "k").agg(F.max(F.struct("p", "o")).alias("h"))
+    return home.select("n", "k", F.col("h.p.n").alias("pn"), F.col("h.p.k").alias("pk"), F.col("h.o").alias("po"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -282,28 +313,53 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     heads = stash(heads.join(groups, "g"), "prefixes")
     ties = heads.groupBy("n", "k").agg(F.sum(F.col("m") - 1).alias("ties"))
     ranked = heads.join(ties, ["n", "k"])
-    pivots = ranked.groupBy("g").agg(F.max_by(F.struct("n", "k"), F.struct("ties", "k")).alias("p"))
-    stars = (ranked.join(pivots, "g").select("n", "k", F.col("p.n").alias("pn"), F.col("p.k").alias("pk"))
-             .where("n <> pn OR k <> pk").where(_long_enough("n", "pn", percent)).select(_pair("n", "k", "pn", "pk").alias("e"))
-             .groupBy("e.an", "e.ak", "e.bn", "e.bk").agg(F.count("*").alias("o"))
+    pivots = ranked.groupBy("g").agg(F.max(F.struct("ties", "k", "n")).alias("p"))
+    stars = (ranked.select("g", "n", "k").join(pivots, "g").where("n <> p.n OR k <> p.k")
+             .withColumns({"pn": F.col("p.n"), "pk": F.col("p.k")}).where(_long_enough("n", "pn", percent))
+             .select(_pair("n", "k", "pn", "pk").alias("e"), "p")
+             .groupBy("e.an", "e.ak", "e.bn", "e.bk").agg(F.count("*").alias("o"), F.max("p").alias("p"))
              .where(F.col("o") * STAR_SHARE >= _need_shared(percent)).drop("o"))
     stars = stash(stars, "stars")
-    links = stash(_links(_sets_of(src, sign, _ends(stars), weight), stars, percent), "links")
+    star_sets = _sets_of(src, sign, _ends(stars), weight)
+    met = stash(_overlaps(star_sets, stars), "overlaps")
+    links = _links(met, percent)
     found = components(links)
+    homes = _homes(stars, met)
     rest = _open(heads.join(found, "k", "left").select("g", "n", "k", F.coalesce("c", "k").alias("c")))
-    seg = _sets_of(src, sign, rest.select("n", "k").distinct(), weight)
-    # shingles that a class has in common with any other open class: a bound of every overlap
-    grams = seg.select("n", "k", F.explode("s").alias("g")).repartition("g")
+    able = stash(rest.select("n", "k").distinct().join(homes, ["n", "k"], "left"), "homes")
+    seg = _sets_of(src, sign, able.select("n", "k"), weight)
+    # shingles that a class has in common with any other open class, and those of them that its
+    # pivot lacks: bounds of every overlap
+    pivot_sets = star_sets.select(F.col("n").alias("pn"), F.col("k").alias("pk"), "f", F.col("s").alias("ps"))
+    pivot_sets = pivot_sets.join(able.select("pn", "pk").distinct(), ["pn", "pk"]).dropDuplicates(["pn", "pk", "f"])
+    beside = seg.join(able, ["n", "k"]).join(pivot_sets, ["pn", "pk", "f"], "left").withColumn(
+        "ps", F.coalesce("ps", F.array().cast("array<long>")))
+    grams = beside.select("n", "k", F.explode(F.concat(
+        F.transform(F.array_intersect("s", "ps"), lambda g: F.struct(g.alias("g"), F.lit(0).alias("new"))),
+        F.transform(F.array_except("s", "ps"), lambda g: F.struct(g.alias("g"), F.lit(1).alias("new"))))).alias("x"))
+    grams = grams.select("n", "k", "x.g", "x.new").repartition("g")
     common = grams.join(grams.groupBy("g").agg(F.count("*").alias("m")).where("m > 1"), "g").groupBy("n", "k").agg(
-        F.count("*").alias("common"))
-    rest = stash(rest.join(common, ["n", "k"]).where(F.col("common") * 100 >= F.col("n") * percent), "able")
-    a = rest.select("g", F.col("n").alias("an"), F.col("k").alias("ak"), F.col("c").alias("ac"), F.col("common").alias("am"))
-    b = rest.select("g", F.col("n").alias("bn"), F.col("k").alias("bk"), F.col("c").alias("bc"), F.col("common").alias("bm"))
-    cross = (a.join(b, "g").where("ac <> bc AND (an < bn OR (an = bn AND ak < bk))")
+        F.count("*").alias("common"), F.sum("new").alias("new"))
+    rest = rest.join(common, ["n", "k"]).where(F.col("common") * 100 >= F.col("n") * percent)
+    parities = seg.where("z IS NOT NULL").dropDuplicates(["n", "k"]).select(
+        "n", "k", *[F.col("z")[i].alias(f"z{i}") for i in range(PARITY_WORDS)])
+    rest = stash(rest.join(able, ["n", "k"]).join(parities, ["n", "k"]), "able")
+
+    def side(x: str) -> DataFrame:
+        names = {"n": "n", "k": "k", "c": "c", "common": "m", "new": "u", "pn": "pn", "pk": "pk", "po": "po"}
+        names |= {f"z{i}": f"z{i}" for i in range(PARITY_WORDS)}
+        return rest.select("g", *[F.col(c).alias(x + t) for c, t in names.items()])
+
+    one_pivot = F.coalesce((F.col("apn") == F.col("bpn")) & (F.col("apk") == F.col("bpk")), F.lit(False))
+    by_pivot = F.least("apo", "bpo") + F.least("au", "bu")
+    differ = sum(F.bit_count(F.col(f"az{i}").bitwiseXOR(F.col(f"bz{i}"))) for i in range(PARITY_WORDS))
+    cross = (side("a").join(side("b"), "g").where("ac <> bc AND (an < bn OR (an = bn AND ak < bk))")
              .where(_long_enough("an", "bn", percent) & (F.least("am", "bm") >= _need(percent)))
+             .where(~(one_pivot & (by_pivot < _need(percent))))
+             .where(differ <= F.col("an") + F.col("bn") - 2 * _need(percent))
              .groupBy("an", "ak", "bn", "bk").agg(F.count("*").alias("o")).where(F.col("o") >= _need_shared(percent)).drop("o")
              .join(stars, ["an", "ak", "bn", "bk"], "left_anti"))  # the stars have been checked
-    more = _links(seg, stash(cross, "cross"), percent)
+    more = _links(_overlaps(seg, stash(cross, "cross")), percent)
     every = components(links.union(more))
     named = sign.join(every, "k", "left").select("id", "n", F.coalesce("c", "k").alias("c"))
     low = named.where("n > 0").groupBy("c").agg(F.min("id").alias("low"))
