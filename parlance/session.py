@@ -64,7 +64,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_parlance_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
