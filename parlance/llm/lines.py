@@ -98,9 +98,14 @@ def _fingerprints(texts: DataFrame, masks, min_words: int) -> DataFrame:
 
 
 def _first_of_run(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """The held runs, each but the first of its hash marked ``later``."""
+    """The held runs, each but the first of its hash marked ``later``. Rows equal in id and text
+    give the same runs; one of each is left, as none of them comes before the others."""
     t = pa.Table.from_batches(parts).combine_chunks()
     t = t.take(pc.sort_indices(t, [(c, "ascending") for c in ("run", "id", "h", "at")], null_placement="at_start"))
+    ids = pc.dictionary_encode(t["id"], null_encoding="encode").combine_chunks().indices.to_numpy()
+    same = np.zeros(len(t), bool)
+    same[1:] = np.logical_and.reduce([c[1:] == c[:-1] for c in (ids, *(t[n].to_numpy() for n in ("run", "h", "at")))])
+    t = t.filter(pa.array(~same))
     run = t["run"].to_numpy()
     later = np.zeros(len(run), bool)
     later[1:] = run[1:] == run[:-1]

@@ -155,6 +155,17 @@ def test_line_dedup(spark, texts):
     assert sum(passage in out[d]["text"] for d, _ in rows) == 1
 
 
+@pytest.mark.parametrize("parts", [1, 2])
+def test_line_dedup_keeps_rows_equal_in_id_and_text(spark, parts):
+    own, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, own), (None, other), (1, own), (None, other), (2, f"x {own} y"), (3, f"{other} z")]
+    df = spark.createDataFrame([], "doc_id long, text string")
+    for k in range(parts):  # in two partitions the equal rows are apart
+        df = df.unionByName(spark.createDataFrame(rows[2 * k:] if k else rows[:6 if parts == 1 else 2], df.schema).coalesce(1))
+    out = sorted((repr(r["doc_id"]), r["text"]) for r in lines.dedup(df).collect())
+    assert out == sorted([("1", own)] * 2 + [("None", other)] * 2 + [("2", "x y"), ("3", "z")])
+
+
 def test_winnowing_guarantee():
     rng = np.random.default_rng(5)
     g = rng.integers(0, 9, 400).astype(np.uint64)
