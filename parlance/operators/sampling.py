@@ -289,6 +289,6 @@ def interleave(spark: SparkSession, frames: dict[str, DataFrame], key: str,
     parts = []
     for i, nm in enumerate(names):
         indexed = with_position(frames[nm], [key], name="_row").withColumn("_src", F.lit(i))
-        parts.append(indexed.withColumn("source", F.lit(nm)))
+        parts.append(indexed.withColumn("source", F.lit(nm).cast("string")))
     rows = concatenate(parts)
     return sched.select("step", "_src", "_row").join(rows, ["_src", "_row"]).drop("_src", "_row")

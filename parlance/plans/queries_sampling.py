@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from parlance.functions import text as TX
 from parlance.functions.random import sql_uniform
 from parlance.operators import sampling as SM
+from parlance.operators.ranks import with_position
 from parlance.plans.catalog import register, sql_hebrew_norm, sql_words
 from parlance.sources import specs as SP
 from parlance.sources.tables import table
 
-LANGS = ["de", "en", "es", "fr"]  # the four language datasets, in source-index order
+LANGS = ["de", "en", "es", "fr"]  # the given tables' language datasets, in source-index order (oracles only)
 PROBS = [0.4, 0.3, 0.2, 0.1]
 
 
@@ -125,21 +126,31 @@ WHERE s.step <= (SELECT stop FROM stop)
 """
 
 
-def _interleave(spark, sf_dir, probs):
+def _interleave(spark, sf_dir, weigh=None):
+    """One dataset per language of the table, in name order, then the rows without a language."""
     d = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    frames = {l: d.filter(F.col("lang") == l).select("doc_id") for l in LANGS}
-    out = SM.interleave(spark, frames, "doc_id", probabilities=probs, seed=745)
+    langs = sorted((r["lang"] for r in d.select("lang").distinct().collect()), key=lambda l: (l is None, l or ""))
+    if len(langs) < 2:  # nothing to interleave with
+        one = with_position(d, ["doc_id"], name="step")
+        return one.select(F.col("step").cast("bigint").alias("step"), F.col("lang").alias("source"), "doc_id")
+    frames = {l: d.filter(F.col("lang").eqNullSafe(F.lit(l))).select("doc_id") for l in langs}
+    out = SM.interleave(spark, frames, "doc_id", probabilities=weigh and weigh(len(langs)), seed=745)
     return out.select("step", "source", "doc_id")
 
 
+def falling_weights(k: int) -> list[float]:
+    """k, k - 1, ..., 1 over their sum: ``PROBS`` for the four languages of the given tables."""
+    return [(k - i) / (k * (k + 1) // 2) for i in range(k)]
+
+
 @register("interleave_round_robin", _interleave_sql(None))
 def interleave_round_robin(spark, sf_dir):
-    return _interleave(spark, sf_dir, None)
+    return _interleave(spark, sf_dir)
 
 
 @register("interleave_weighted", _interleave_sql(PROBS))
 def interleave_weighted(spark, sf_dir):
-    return _interleave(spark, sf_dir, PROBS)
+    return _interleave(spark, sf_dir, falling_weights)
 
 
 # ---- SRC6 + SET3: sweep over evaluation specs, failing ones skipped ---------------------------

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from parlance.functions import align as A
+from parlance.plans.catalog import QUERIES
 from parlance.plans.flows import build_dataset
+from parlance.plans.queries_sampling import PROBS, falling_weights
 from parlance.sources.sinks import existing
 from parlance.sources.specs import parse_dataset_spec, read_prepared
 
@@ -43,3 +45,13 @@ def test_only_a_missing_path_counts_as_missing(spark, tmp_path):
     (tmp_path / "broken" / "a.parquet").write_text("not parquet")
     with pytest.raises(Exception, match="(?i)parquet|footer"):
         existing(spark, str(tmp_path / "broken"))
+
+
+@pytest.mark.parametrize("name", ["interleave_round_robin", "interleave_weighted"])
+def test_interleaving_takes_every_language_of_the_table(spark, tmp_path, name):
+    rows = [(1, "it"), (2, "it"), (3, None), (4, "de"), (5, "fr"), (6, "en"), (7, "zh")]
+    spark.createDataFrame(rows, "doc_id long, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES[name](spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["source"]) for r in got} == set(rows)
+    assert sorted(r["step"] for r in got) == list(range(len(got)))
+    assert falling_weights(4) == PROBS
