@@ -6,11 +6,14 @@ spans; an entity is the value of a base span. Over the whole corpus are counted:
 term lies within ``REACH`` words of an entity, in how many different contexts, how often the
 term occurs at all, and how many words there are. A term discloses an entity if
 
-- it was met in at least ``MIN_CONTEXTS`` different contexts of that entity (copies of one
-  passage are one context),
-- P(entity | term) = near(term, entity) / occurrences(term) is at least ``MIN_SHARE``, and
+- P(entity | term) = near(term, entity) / occurrences(term) is at least ``MIN_SHARE``,
+- that also holds with one more occurrence away from the entity, counted over different
+  contexts (copies of one passage are one context) and smoothed by P(entity); this weighs
+  rare terms, those met in ``MIN_CONTEXTS`` contexts or more need not pass it, and
 - the pointwise information log2(P(entity | term) / P(entity)) is at least ``MIN_BITS``.
 
+So a term met once with an entity discloses it if it occurs nowhere else.
+
 Such terms are spans of the kind ``term`` wherever they occur. ``sanitise`` generalises spans:
 each is replaced by its kind's mark.
 
@@ -161,16 +164,17 @@ def disclosing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
            .groupBy("h", "e").agg(F.sum("k").alias("near"), F.count("*").alias("contexts")))
     met = stash(met, "near")
     entity = met.groupBy("e").agg(F.sum("near").alias("around"))
-    terms = stash(met.where(F.col("contexts") >= min_contexts), "terms")
+    terms = met.select("h").distinct()
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(terms, "h", terms.count()))
     occ = stash(_occurrences(src, wanted), "occurrences")
     words = occ.where("h IS NULL").agg(F.sum("n")).first()[0] or 0
     share = F.col("near") / F.col("n")
-    known = terms.join(occ.where("h IS NOT NULL"), "h").join(entity, "e").select(
-        "*", F.lit(words).alias("words"))
-    known = known.select("h", F.least(share, F.lit(1.0)).alias("share"),
-                         F.log2(share / (F.col("around") / F.col("words"))).alias("bits"))
-    return (known.where((F.col("share") >= min_share) & (F.col("bits") >= min_bits))
+    prior = F.col("around") / F.lit(words)
+    smoothed = (F.col("contexts") + prior) / (F.col("contexts") / F.least(share, F.lit(1.0)) + 1)
+    known = met.join(occ.where("h IS NOT NULL"), "h").where(share >= min_share).join(entity, "e").where(
+        (F.col("contexts") >= min_contexts) | (smoothed >= min_share)).select(
+        "h", F.least(share, F.lit(1.0)).alias("share"), F.log2(share / prior).alias("bits"))
+    return (known.where(F.col("bits") >= min_bits)
             .groupBy("h").agg(F.max("share").alias("share"), F.max("bits").alias("bits")))
 
 

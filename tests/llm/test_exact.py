@@ -252,6 +252,18 @@ def test_disclosing_terms(spark):
     assert "jo@" not in clean[0] and "<EMAIL>" in clean[0] and "zorblax" not in clean[5]
 
 
+def test_disclosing_terms_of_rare_entities(spark):
+    rows = [(0, "the report of the day by Quixmire of the office jo@mail.example.com for the day"),
+            *((i, "once the plan by Vandorf of the team al@mail.example.org ends the day") for i in (1, 2, 3)),
+            (4, "the note by Torgate of the team ed@mail.example.net ends the day"), (5, "torgate of the office " * 2),
+            *((10 + i, "once the report of the plan and the note by the office for the team ends the day") for i in range(60))]
+    got = {r["doc_id"]: r for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, term in ((0, "Quixmire"), (1, "Vandorf"), (2, "Vandorf"), (3, "Vandorf")):
+        at = rows[d][1].index(term)
+        assert f"term:{at}:{at + len(term)}" in got[d]["spans"].split(",") and got[d]["n_term"] == 1
+    assert all(got[d]["n_term"] == 0 for d, _ in rows[4:])
+
+
 def test_word_hashes_and_bitmap(spark):
     raw, offs = text_buffer(pa.array(["a b", None, "A b", "", "b a"]))
     w = Words(raw, offs, fold=True)
