@@ -49,18 +49,23 @@ def dictionaries(train: DataFrame, text_col: str = "text", lang_col: str = "lang
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not sizes:
         return []
-    # rows whose hash falls into a share of the hash range that holds about 2 * dict_bytes
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, 2.0 * dict_bytes / max(1, r["bytes"])))])
+    # rows whose hash falls into a share of the hash range that holds about 2 * dict_bytes; the
+    # share grows for the languages whose dictionary it does not fill
+    share = {r["lang"]: min(1.0, 2.0 * dict_bytes / max(1, r["bytes"])) for r in sizes}
     h = F.pmod(F.xxhash64("t"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    picked = rows.where(h < F.element_at(share, F.col("lang"))).select(
-        "lang", F.substring(F.col("t").cast("binary"), 1, dict_bytes).alias("t"), F.xxhash64("t").alias("h"))
     texts: dict[str, list[bytes]] = {}
-    room = {r["lang"]: dict_bytes for r in sizes}
-    for r in picked.distinct().orderBy("lang", "h").toLocalIterator():
-        if room[r["lang"]] > 0:
-            t = bytes(r["t"])[:room[r["lang"]]]
-            texts.setdefault(r["lang"], []).append(t)
-            room[r["lang"]] -= len(t) + 1
+    while share:
+        bound = F.create_map(*[F.lit(x) for r in share.items() for x in r])
+        picked = rows.where(h < F.try_element_at(bound, F.col("lang"))).select(
+            "lang", F.substring(F.col("t").cast("binary"), 1, dict_bytes).alias("t"), h.alias("h"))
+        room = dict.fromkeys(share, dict_bytes)
+        texts.update((name, []) for name in share)
+        for r in picked.distinct().orderBy("lang", "h", "t").toLocalIterator():
+            if room[r["lang"]] > 0:
+                t = bytes(r["t"])[:room[r["lang"]]]
+                texts[r["lang"]].append(t)
+                room[r["lang"]] -= len(t) + 1
+        share = {name: min(1.0, 8 * s) for name, s in share.items() if room[name] > 0 and s < 1.0}
     order = sorted(sizes, key=lambda r: (-r["n"], r["lang"]))
     # the earliest bytes of a dictionary are the farthest away, so the order is reversed
     return [(r["lang"], b"\n".join(reversed(texts.get(r["lang"], [])))) for r in order]

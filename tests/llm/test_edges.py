@@ -92,3 +92,10 @@ def test_chats(spark):
     assert turns == [(r[2] or "", r[3] or "") for r in order]
     assert [s["text"] for s in out[1]["segments"] if s["loss"]] == ["a \\bSEP] b"] * 2
     assert chat.report(df.limit(0)).collect() == []
+
+
+def test_every_learned_language_has_a_dictionary(spark):
+    rows = [(f"l{i}", f"short text {k} of l{i}") for i in range(10) for k in range(5)]
+    rows += [(f"l{i}", f"long text of l{i} " * 600) for i in range(10)]
+    dicts = dict(langid.dictionaries(spark.createDataFrame(rows, "lang string, text string"), dict_bytes=100))
+    assert len(dicts) == 10 and all(len(d) >= 99 for d in dicts.values())
