@@ -22,7 +22,7 @@ Deleting a run leaves a line break where white space around it had one, a blank
 and nothing at the ends of the text.
 
 Edge cases: null and empty texts stay as they are; a text of fewer than ``min_words`` words
-stays; documents are ordered by id (null first), then by text hash; rows equal in id and
+stays, and so does a repeated line that is not part of such a run; documents are ordered by id (null first), then by text hash; rows equal in id and
 text are one document and are all treated like it; an empty table gives an empty result;
 other columns pass through.
 """
