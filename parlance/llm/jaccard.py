@@ -14,7 +14,8 @@ No group of documents is expanded into all its pairs:
    rest; a group is joined by such stars, linear in its size.
 3. Components of the links found are computed; a shingle whose classes all lie in one
    component is done. For the rest, pairs across components are checked, so no link between
-   different components is lost; pairs inside a component cannot change the result.
+   different components is lost; pairs inside a component cannot change the result. The result
+   is the components only: links inside one are neither listed nor counted.
 
 Prefixes are longer than the shortest sufficient ones, so that a linked pair meets in a tenth
 of its shingles there, not in one only; pairs that meet in fewer are dropped unread. So are
