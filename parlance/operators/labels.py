@@ -1,4 +1,4 @@
-"""Label sequences for decoder training (TXT11, TXT12, ARR1-ARR9, FLT4, AGG10).
+"""Label sequences for decoder training (TXT11, ARR1-ARR9, FLT4, AGG10).
 
 The model-bundled subword tokenizer is out of scope; it is re-aimed as a word
 dictionary that Spark builds from the data (distinct words, distributed positions) and
@@ -119,7 +119,7 @@ def const_ids(values: list[int]) -> Column:
 def assemble_labels(ids: Column, prev_ids: Column, has_ts: Column, has_prev: Column,
                     train_ts: Column, cond_prev: Column, inject_synthetic: bool = False,
                     shift: Column | None = None, duration: Column | None = None) -> Column:
-    """ARR1-ARR5 + TXT12 (A.9). Returns the label array, or null when a synthetic marker
+    """ARR1-ARR5 (A.9; TXT12 is moot for word ids). Returns the label array, or null when a synthetic marker
     would exceed the last marker time (the reference's failing row)."""
     has_ts = F.coalesce(has_ts, F.lit(False))
     has_prev = F.coalesce(has_prev, F.lit(False))

@@ -92,7 +92,7 @@ lab AS (
 legal AS (SELECT * FROM lab WHERE len(labels) <= 448)"""
 
 
-# TXT11 + TXT12 + ARR1-ARR5 + LIM5 + FLT4 over the prepared examples
+# TXT11 + ARR1-ARR5 + LIM5 + FLT4 over the prepared examples
 @register("labels_fixed_hop", f"""
 WITH {SQL_F1}, {SQL_FIXED_HOP}, {SQL_MERGE}, {SQL_EXAMPLES}, {SQL_LABELS}
 SELECT entry_id, CAST(slice_idx AS BIGINT) AS slice_idx, CAST(len(labels) AS BIGINT) AS n_labels,
