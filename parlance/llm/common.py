@@ -35,7 +35,16 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stashed_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a ``stash`` that no later step reads."""
+    spark = df.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(df._stashed_at)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and the pipeline's stages: whole tables, production
+"""Registered queries of the numbered operators and the pipeline's stages: whole tables, production
 parameters, the contract's columns."""
 
 from __future__ import annotations
@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import bpe, chat, decontam, jaccard, langid, lines, pii, quality, tokens, toxicity
-from parlance.llm.common import fold_of, table
+from parlance.llm import (
+    bpe, chat, decontam, jaccard, langid, lines, periodic, pii, quality, simhash, tokens, toxicity, trie)
+from parlance.llm.common import fold_of, stash, table
 
 
 @lru_cache(maxsize=4)
@@ -74,6 +75,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.with_planted_heads(stash(trie.paths(table(spark, sf_dir, "conversations")), "turns")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(periodic.detect(periodic.with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_chat_format, op3_bpe_codec, op4_decontamination, op5_language_id, op6_quality_rules,
-    op7_line_dedup, op8_jaccard_join, op9_toxicity, op10_pii)}
+    op7_line_dedup, op8_jaccard_join, op9_toxicity, op10_pii, op11_simhash, op12_prefix_trie, op13_periodic_runs)}
