@@ -9,9 +9,10 @@ and summed per pair, which is exact in any order of the shingles.
 No group of documents is expanded into all its pairs:
 
 1. Equal sets are one class from the start, and only classes take part.
-2. Every prefix shingle picks one of its classes as the pivot, the one that shares most prefix
-   shingles with others (the original of a group of near copies), and pairs it with the
-   rest; a group is joined by such stars, linear in its size.
+2. A prefix shingle of two classes makes that pair a candidate. Every other one picks one of its
+   classes as the pivot, the one that shares most prefix shingles with others (the original of a
+   group of near copies), and pairs it with the rest; a group is joined by such stars, linear in
+   its size.
 3. Components of the links found are computed; a shingle whose classes all lie in one
    component is done. For the rest, pairs across components are checked, so no link between
    different components is lost; pairs inside a component cannot change the result. The result
@@ -43,7 +44,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import Words, bitmap, chunks, has_bits, map_arrow, mix, stash, text_buffer
+from parlance.llm.common import Words, bitmap, chunks, has_bits, map_arrow, mix, release, stash, text_buffer
+from parlance.llm.graph import components
 
 GRAM = 5
 #: Similarity threshold in percent.
@@ -51,10 +53,11 @@ PERCENT = 80
 #: Prefixes reach this share (percent) beyond the least that two linked sets must meet in, and
 #: in return must meet in as many shingles.
 EXTRA_PERCENT = 10
-#: Counters of the sketch of heavy shingles (one byte each when broadcast: 4 MB), and the number
-#: of times a task must see a counter's shingles before it reports them.
+#: Counters of the sketch of heavy shingles (one byte each when broadcast: 4 MB), the shingles that
+#: are counted together, and how often a shingle must be among them to be reported.
 SKETCH = 1 << 22
-SKETCH_LEAST = 4
+BLOCK = 1 << 21
+BLOCK_LEAST = 3
 #: Fragments of the global order.
 FRAGMENTS = 8
 #: Cells of the parity bitmap of a set, in words of 64.
@@ -103,17 +106,29 @@ def _signatures(docs: DataFrame, id_type: str) -> DataFrame:
 
 def _heavy(docs: DataFrame) -> np.ndarray:
     """Weight (0..31, by powers of two) of each counter's shingles; a function of the table, and
-    any such function makes a valid order. Sparse rows (counter, count) are summed in Spark;
-    at most ``SKETCH`` of them reach the driver."""
+    any such function makes a valid order. Every set is counted, one for equal ones, block by block
+    of ``BLOCK`` shingles; a block reports the shingles that it has met ``BLOCK_LEAST`` times, so the
+    many rare ones do not fill the counters, whatever the size of the table. Sparse rows (counter,
+    count) are summed in Spark; at most ``SKETCH`` of them reach the driver."""
+    def report(held: list[np.ndarray]) -> pa.RecordBatch:
+        v, n = np.unique(np.concatenate(held), return_counts=True)
+        many = n >= BLOCK_LEAST
+        return pa.RecordBatch.from_arrays([pa.array((v[many] % np.uint64(SKETCH)).astype(np.int32)), pa.array(n[many])], ["c", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.int32)
+        held, met, size = [], set(), 0
         for b in batches:
             for _, _, ss in _texts(b, 0):
-                if ss:
-                    at, n = np.unique((np.concatenate(ss) % np.uint64(SKETCH)).astype(np.int64), return_counts=True)
-                    counts[at] += n.astype(np.int32)
-        at = np.flatnonzero(counts >= np.maximum(SKETCH_LEAST, 4 * counts.mean()))
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at].astype(np.int64))], ["c", "n"])
+                for s in ss:
+                    if len(s) and (key := (len(s), set_key(s))) not in met:
+                        met.add(key)
+                        held.append(s)
+                        size += len(s)
+                if size >= BLOCK:
+                    yield report(held)
+                    held, met, size = [], set(), 0
+        if held:
+            yield report(held)
 
     sums = map_arrow(docs.select("t"), run, "c int, n long").groupBy("c").agg(F.sum("n").alias("n"))
     out = np.zeros(SKETCH, np.uint8)
@@ -211,9 +226,11 @@ def _sets_of(docs: DataFrame, sign: DataFrame, classes: DataFrame, weight) -> Da
 
 def _overlaps(seg: DataFrame, pairs: DataFrame) -> DataFrame:
     """The candidate pairs (an, ak, bn, bk) with their overlap o, if any: summed partial overlaps."""
+    # both sides meet the segments by (n, k, f), so that one exchange of them serves both
     left = seg.select(F.col("n").alias("an"), F.col("k").alias("ak"), "f", F.col("s").alias("x"))
     right = seg.select(F.col("n").alias("bn"), F.col("k").alias("bk"), "f", F.col("s").alias("y"))
-    part = (pairs.join(left, ["an", "ak"]).join(right, ["bn", "bk", "f"])
+    each = pairs.select("an", "ak", "bn", "bk", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("f"))
+    part = (each.join(left, ["an", "ak", "f"]).join(right, ["bn", "bk", "f"])
             .select("an", "ak", "bn", "bk", "f", F.size(F.array_intersect("x", "y")).cast("long").alias("o")))
     # a class may have been sent twice (false positives of the bitmap): a fragment counts once
     once = part.groupBy("an", "ak", "bn", "bk", "f").agg(F.max("o").alias("o"))
@@ -224,6 +241,10 @@ def _links(overlaps: DataFrame, percent: int) -> DataFrame:
     return overlaps.where(F.col("o") * 100 >= (F.col("an") + F.col("bn") - F.col("o")) * percent).select("ak", "bk")
 
 
+def _edges(links: DataFrame) -> DataFrame:
+    return links.select(F.col("ak").alias("u"), F.col("bk").alias("v"))
+
+
 def _homes(stars: DataFrame, overlaps: DataFrame) -> DataFrame:
     """(n, k, pn, pk, po): for each class, the leading pivot among those that it was compared with
     and, for a pivot, itself, and the overlap with it."""
@@ -244,42 +265,17 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def _open(named: DataFrame) -> DataFrame:
     """(g, n, k, c) for the shingles whose classes lie in more than one component, and of those
     the classes that have enough such shingles to link across components."""
+    before = None
     for _ in range(2):
         groups = named.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("g")
-        named = stash(named.join(groups, "g"), "open")
-        able = named.groupBy("n", "k").agg(F.count("*").alias("o")).where(F.col("o") >= _shared("n")).select("n", "k")
-        named = named.join(able, ["n", "k"])
-    return stash(named, "open")
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(k, c): the smallest key of each component of the edges (ak, bk); nodes without an edge
-    do not appear. Each round turns every node's links to its smallest neighbour and shortens
-    chains (large-star, small-star), so rounds grow with the logarithm of the size."""
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.select("u", "v") if not large else e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        if not large:
-            both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        joined = both.join(low, "u")
-        moved = joined.where(F.col("v") > F.col("u")) if large else joined
-        out = moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
-        if not large:
-            out = out.union(low.select("u", F.col("m").alias("v")))
-        return out.where("u <> v").distinct()
-
-    edges = stash(edges.select(F.greatest("ak", "bk").alias("u"), F.least("ak", "bk").alias("v")).where("u <> v").distinct(), "edges")
-    before = None
-    for _ in range(max_rounds):
-        edges = stash(star(star(edges, True), False), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError("components did not settle")
-    return edges.select(F.col("u").alias("k"), F.col("v").alias("c")).union(
-        edges.select(F.col("v").alias("k"), F.col("v").alias("c"))).distinct()
+        met = stash(named.join(groups, "g"), "open")
+        able = met.groupBy("n", "k").agg(F.count("*").alias("o")).where(_most(F.col("o"), _shared("n"))).select("n", "k")
+        named = stash(met.join(able, ["n", "k"]), "open")
+        release(met)
+        if before is not None:
+            release(before)
+        before = named
+    return named
 
 
 def _shared(n: str):
@@ -287,6 +283,12 @@ def _shared(n: str):
     return F.greatest(F.lit(1), F.ceil(F.col(n) * EXTRA_PERCENT / 100))
 
 
+def _most(met, needed):
+    """Whether the shingles of step 3 can do: a pair that was not checked as a star met in less than
+    1 / STAR_SHARE of those it needs by shingles of two classes, which step 3 leaves out."""
+    return met * STAR_SHARE > needed * (STAR_SHARE - 1)
+
+
 def _need(percent: int):
     """Overlap of a linked pair, at least."""
     return F.ceil((F.col("an") + F.col("bn")) * percent / (100 + percent) - 1e-9)
@@ -308,25 +310,31 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.xxhash64(id_col, text_col).alias("x"))
     sign = stash(_signatures(src, id_type), "signatures")
     weight = spark.sparkContext.broadcast(_heavy(src))
-    # prefix shingles with two classes at least
+    # prefix shingles with two classes at least; one of exactly two classes is that pair, in one row
     heads = _prefixes(src, weight).repartition("g").distinct()
-    groups = heads.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
-    heads = stash(heads.join(groups, "g"), "prefixes")
-    ties = heads.groupBy("n", "k").agg(F.sum(F.col("m") - 1).alias("ties"))
-    ranked = heads.join(ties, ["n", "k"])
+    own = F.struct("n", "k")
+    groups = heads.groupBy("g").agg(F.count("*").alias("m"), F.min(own).alias("lo"), F.max(own).alias("hi")).where("m > 1")
+    heads = stash(heads.join(groups, "g").where((F.col("m") > 2) | (own == F.col("lo"))).select(
+        "g", "m", "n", "k", F.when(F.col("m") == 2, F.col("hi.n")).alias("on"), F.when(F.col("m") == 2, F.col("hi.k")).alias("ok")),
+        "prefixes")
+    shown = heads.where("m > 2").select("g", "n", "k", "m")
+    ties = shown.groupBy("n", "k").agg(F.sum(F.col("m") - 1).alias("ties"))
+    ranked = shown.join(ties, ["n", "k"])
     pivots = ranked.groupBy("g").agg(F.max(F.struct("ties", "k", "n")).alias("p"))
+    lone = heads.where(F.col("m") == 2).where(_long_enough("n", "on", percent)).select(
+        _pair("n", "k", "on", "ok").alias("e"), F.struct(F.lit(1).cast("long").alias("ties"), F.col("ok").alias("k"), F.col("on").alias("n")).alias("p"))
     stars = (ranked.select("g", "n", "k").join(pivots, "g").where("n <> p.n OR k <> p.k")
              .withColumns({"pn": F.col("p.n"), "pk": F.col("p.k")}).where(_long_enough("n", "pn", percent))
-             .select(_pair("n", "k", "pn", "pk").alias("e"), "p")
+             .select(_pair("n", "k", "pn", "pk").alias("e"), "p").union(lone)
              .groupBy("e.an", "e.ak", "e.bn", "e.bk").agg(F.count("*").alias("o"), F.max("p").alias("p"))
              .where(F.col("o") * STAR_SHARE >= _need_shared(percent)).drop("o"))
     stars = stash(stars, "stars")
     star_sets = _sets_of(src, sign, _ends(stars), weight)
     met = stash(_overlaps(star_sets, stars), "overlaps")
     links = _links(met, percent)
-    found = components(links)
+    found = components(_edges(links))
     homes = _homes(stars, met)
-    rest = _open(heads.join(found, "k", "left").select("g", "n", "k", F.coalesce("c", "k").alias("c")))
+    rest = _open(shown.join(found, "k", "left").select("g", "n", "k", F.coalesce("c", "k").alias("c")))
     able = stash(rest.select("n", "k").distinct().join(homes, ["n", "k"], "left"), "homes")
     seg = _sets_of(src, sign, able.select("n", "k"), weight)
     # shingles that a class has in common with any other open class, and those of them that its
@@ -358,10 +366,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
              .where(_long_enough("an", "bn", percent) & (F.least("am", "bm") >= _need(percent)))
              .where(~(one_pivot & (by_pivot < _need(percent))))
              .where(differ <= F.col("an") + F.col("bn") - 2 * _need(percent))
-             .groupBy("an", "ak", "bn", "bk").agg(F.count("*").alias("o")).where(F.col("o") >= _need_shared(percent)).drop("o")
+             .groupBy("an", "ak", "bn", "bk").agg(F.count("*").alias("o")).where(_most(F.col("o"), _need_shared(percent))).drop("o")
              .join(stars, ["an", "ak", "bn", "bk"], "left_anti"))  # the stars have been checked
     more = _links(_overlaps(seg, stash(cross, "cross")), percent)
-    every = components(links.union(more))
+    every = components(_edges(links.union(more)))
     named = sign.join(every, "k", "left").select("id", "n", F.coalesce("c", "k").alias("c"))
     low = named.where("n > 0").groupBy("c").agg(F.min("id").alias("low"))
     return (named.join(low, "c", "left")
