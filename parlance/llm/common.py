@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +118,7 @@ class _Powers:
                 while len(have) < n:
                     have = np.concatenate([have, have * np.uint64(pow(base, len(have), 1 << 64))])
                 return have
-            if n > 1 << 23:  # one very long text: not kept for the worker's lifetime
+            if n > CHUNK_BYTES + 1:  # one very long text: not kept for the worker's lifetime
                 return grow(self.up, self.base), grow(self.down, self.inv)
             self.up, self.down = grow(self.up, self.base), grow(self.down, self.inv)
         return self.up, self.down
@@ -144,7 +145,7 @@ NEWLINE[10] = True
 
 
 class Words:
-    """Runs of bytes outside ``sep`` in every text of a buffer, with a hash each.
+    """Runs of bytes outside ``sep`` in every text of a buffer, with a hash each (made when asked for).
 
     ``starts``/``ends`` are byte positions in the buffer, ``first`` (length n + 1) the index
     of each text's first word. ``fold`` hashes A-Z like a-z.
@@ -165,8 +166,15 @@ class Words:
         self.starts = np.flatnonzero(after & ~left)
         self.ends = np.flatnonzero(before & ~right)
         self.first = np.searchsorted(self.starts, offs)
-        self._values = _VALUES[fold][buf]
-        self.hash = _range_hash(self._values, self.starts, self.ends, _BYTE_POW)
+        self._buf, self._fold = buf, fold
+
+    @cached_property
+    def _values(self) -> np.ndarray:
+        return _VALUES[self._fold][self._buf]
+
+    @cached_property
+    def hash(self) -> np.ndarray:
+        return _range_hash(self._values, self.starts, self.ends, _BYTE_POW)
 
     def gram_starts(self, k: int) -> np.ndarray:
         """Indexes of the words that begin a k-word window inside their own text."""

@@ -1,19 +1,24 @@
-"""Operator 7, line dedup: winnowing over the hashes of a text's lines of words.
+"""Operator 7, line dedup: winnowing over line hashes.
 
-What repeats across documents starts and ends inside physical lines as often as at their
-ends, so the unit is finer than a line: every word begins a "line" of ``GRAM`` words, and
-runs go on across line breaks. A run is a repeat if it has at least ``min_words`` words and
-the same words occurred before: earlier in the same document, or in a document with a
-smaller id. Later repeated runs are deleted, the first occurrence stays.
+Two units repeat, and each is handled by the same steps:
 
-1. Winnowing: in every window of ``min_words - GRAM + 1`` consecutive hashes the minimum
-   (the rightmost on ties) is selected. Each run of ``min_words`` words holds a whole window,
-   so equal runs share a selected fingerprint: none is missed.
+- physical lines: a run of ``min_lines`` lines or more with ``min_line_words`` words or more, white
+  space apart (one line, and two words, by default);
+- passages, which start and end inside physical lines as often as at their ends: every word begins
+  a "line" of ``GRAM`` words, and a run has ``min_words`` words or more and goes on across line
+  breaks.
+
+A run is a repeat if the same run occurred before: earlier in the same document, or in a document
+with a smaller id. Later repeated runs are deleted, the first occurrence stays.
+
+1. Winnowing: in every window of a unit's consecutive hashes (as many as the shortest run has) the
+   minimum is selected, the rightmost on ties. Each shortest run is one window, so equal runs have
+   the same selected fingerprint: none is missed.
 2. Fingerprints are counted across the corpus; the repeated ones go into a fixed-size bitmap.
-3. Around each position whose fingerprint repeats, the match is extended both ways, word by
-   word: all ``min_words``-word runs that hold it are looked up by their hash. The first
-   occurrence of each is found by a map-side minimum; the others are repeats, and their union
-   in a document is its set of later repeated runs.
+3. The positions around a repeated fingerprint, both ways, are the shortest runs whose minimum it
+   is. They are joined with the other positions by the hash of the whole run: each but the first
+   one is a match, and matches that overlap or touch make up the longer run. A task marks the
+   repeats among its own positions first, so a very frequent run costs a row a task.
 
 Exact copies of a whole text are found by the text's hash first, and only the first copy
 takes part, so a large group of copies costs one row per copy.
@@ -21,35 +26,52 @@ takes part, so a large group of copies costs one row per copy.
 Deleting a run leaves a line break where white space around it had one, a blank otherwise,
 and nothing at the ends of the text.
 
-Edge cases: null and empty texts stay as they are; a text of fewer than ``min_words`` words
-stays, and so does a repeated line that is not part of such a run; documents are ordered by id (null first), then by text hash; rows equal in id and
-text are one document and are all treated like it; an empty table gives an empty result;
-other columns pass through.
+Edge cases: null and empty texts stay as they are; a line of fewer than ``min_line_words`` words
+stays unless it is in a repeated passage; documents are ordered by id (null first), then by text
+hash; rows equal in id and text are one document and are all treated like it; an empty table gives
+an empty result; other columns pass through.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parlance.llm.common import Words, bitmap, chunks, has_bits, map_arrow, stash, text_buffer
+from parlance.llm.common import Words, bitmap, chunks, has_bits, map_arrow, mix, stash, text_buffer
 
-#: Words hashed together, and the words of a run that counts as repeated.
+#: Words hashed together, and the words of a passage that counts as repeated.
 GRAM = 20
 MIN_WORDS = 50
+#: Physical lines of a run that counts as repeated, and the words that it has at least.
+MIN_LINES = 1
+MIN_LINE_WORDS = 2
 #: Runs that a task holds to find the first of each among its own before they are shuffled.
-HOLD_RUNS = 500_000
-#: Rows whose result is built at a time.
-SLICE_ROWS = 500
+HOLD_RUNS = 250_000
+
+
+@dataclass(frozen=True)
+class Least:
+    """The shortest runs that count: words of a passage, lines and words of a run of lines."""
+
+    words: int = MIN_WORDS
+    lines: int = MIN_LINES
+    line_words: int = MIN_LINE_WORDS
 
 
 def winnow(grams: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the minimum of every window of consecutive hashes (rightmost on ties)."""
+    """Positions selected: the minima of all windows."""
+    return np.unique(minima(grams, window))
+
+
+def minima(grams: np.ndarray, window: int) -> np.ndarray:
+    """Position of the minimum of every window of consecutive hashes (rightmost on ties)."""
     n = len(grams)
     if n < window:
         return np.zeros(0, np.int64)
@@ -60,7 +82,7 @@ def winnow(grams: np.ndarray, window: int) -> np.ndarray:
         a, b = best[:len(best) - step], best[step:]
         best = np.where(grams[b] <= grams[a], b, a)
         have += step
-    return np.unique(best)
+    return best
 
 
 class _Windows:
@@ -81,16 +103,80 @@ def _skip(batch: pa.RecordBatch, x: int, copies: np.ndarray, kept: np.ndarray) -
     return batch.filter(pa.array(~(has_bits(copies, v) & ~has_bits(kept, v))))
 
 
-def _fingerprints(texts: DataFrame, masks, min_words: int) -> DataFrame:
+def _line_starts(buf: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the first word of each physical line that has words, and of each text's first such
+    line (length n + 1)."""
+    of = np.searchsorted(np.flatnonzero(buf == 10), words.starts)
+    begins = np.ones(len(of), bool)
+    begins[1:] = of[1:] != of[:-1]
+    begins[words.first[:-1][np.diff(words.first) > 0]] = True
+    at = np.flatnonzero(begins)
+    return at, np.searchsorted(at, words.first)
+
+
+def _line_runs(at: np.ndarray, n_words: int, least: Least) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, end) of the shortest runs of one text's lines, which begin at the words ``at``;
+    runs with too few words are left out."""
+    ends = np.append(at, n_words)[least.lines:]
+    begin = at[:len(ends)]
+    long = ends - begin >= least.line_words
+    return begin[long], ends[long]
+
+
+class _Units:
+    """The shortest runs of every text of a chunk: (fingerprint, run hash, first word, words)."""
+
+    _LINE, _LINES = np.uint64(0x6C696E65), np.uint64(0x6C696E6573)
+
+    def __init__(self, buf: np.ndarray, offs: np.ndarray, least: Least):
+        self.least = least
+        self.words = words = Words(buf, offs)
+        self.grams = _Windows(words, GRAM)
+        self.at, self.first_line = _line_starts(buf, words)
+        self.line_hash = mix(words.range_hash(self.at, np.append(self.at, len(words.starts))[1:]) + self._LINE) \
+            if len(self.at) else np.zeros(0, np.uint64)
+
+    def lines_of(self, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Fingerprint, first word and end (in the chunk) of each run of lines of a text."""
+        a, b = self.first_line[d], self.first_line[d + 1]
+        at, end = self.at[a:b], np.append(self.at[a:b], self.words.first[d + 1])[self.least.lines:]
+        at = at[:len(end)]
+        f = self.line_hash[a:b][minima(self.line_hash[a:b], self.least.lines)]
+        long = end - at >= self.least.line_words
+        return f[long], at[long], end[long]
+
+    def fingerprints(self, d: int) -> np.ndarray:
+        g = self.grams.of(d)
+        return np.concatenate([g[winnow(g, self.least.words - GRAM + 1)], self.lines_of(d)[0]])
+
+    def runs(self, d: int, repeated) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, first word (of the text) and words of the runs whose fingerprint is repeated."""
+        g, w = self.grams.of(d), self.wide.of(d)
+        best = minima(g, self.least.words - GRAM + 1)
+        known = np.zeros(len(g), bool)
+        p = np.unique(best)
+        known[p] = repeated(g[p])
+        at = np.flatnonzero(known[best])
+        f, begin, end = self.lines_of(d)
+        ok = repeated(f)
+        begin, end = begin[ok], end[ok]
+        return (np.concatenate([w[at], mix(self.words.range_hash(begin, end) + self._LINES)]),
+                np.concatenate([at, begin - self.words.first[d]]), np.concatenate([np.full(len(at), self.least.words), end - begin]))
+
+    @cached_property
+    def wide(self) -> _Windows:
+        return _Windows(self.words, self.least.words)
+
+
+def _fingerprints(texts: DataFrame, masks, least: Least) -> DataFrame:
     """(f): the selected hashes of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             b = _skip(b, 1, *masks.value)
             raw, offs = text_buffer(b.column(0))
             for lo, hi in chunks(offs):
-                words = Words(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-                grams = _Windows(words, GRAM)
-                flat = np.concatenate([(g := grams.of(d))[winnow(g, min_words - GRAM + 1)] for d in range(hi - lo)])
+                units = _Units(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], least)
+                flat = np.concatenate([units.fingerprints(d) for d in range(hi - lo)])
                 if len(flat):
                     yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["f"])
 
@@ -112,64 +198,49 @@ def _first_of_run(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return t.append_column("later", pa.array(later)).combine_chunks().to_batches()[0]
 
 
-def _runs(texts: DataFrame, masks, repeated, min_words: int, id_type: str) -> DataFrame:
-    """(id, h, run, at, later): the ``min_words``-word runs that hold a repeated fingerprint;
-    ``later`` if the task itself has an earlier one, so that few rows of a very frequent run
-    are shuffled."""
+def _runs(texts: DataFrame, masks, repeated, least: Least, id_type: str) -> DataFrame:
+    """(id, h, run, at, n, later): the shortest runs with a repeated fingerprint, of n words from word
+    ``at`` on; ``later`` if the task itself has an earlier one, so that few rows of a very
+    frequent run are shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = repeated.value
-        reach = min_words - GRAM
         held, n_held = [], 0
         for b in batches:
             b = _skip(b, 3, *masks.value)
             raw, offs = text_buffer(b.column(1))
             for lo, hi in chunks(offs):
-                words = Words(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-                grams, wide = _Windows(words, GRAM), _Windows(words, min_words)
-                rows, ats, hashes = [], [], []
-                for d in range(hi - lo):
-                    g, w = grams.of(d), wide.of(d)
-                    p = winnow(g, reach + 1)
-                    p = p[has_bits(bits, g[p].view(np.int64))]
-                    if len(p):
-                        edge = np.zeros(len(w) + 1, np.int64)  # runs that hold fingerprint p start in [p - reach, p]
-                        np.add.at(edge, np.maximum(0, p - reach), 1)
-                        np.add.at(edge, np.minimum(len(w), p + 1), -1)
-                        at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-                        rows.append(np.full(len(at), lo + d))
-                        ats.append(at)
-                        hashes.append(w[at])
-                if rows:
-                    rows = pa.array(np.concatenate(rows))
+                units = _Units(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], least)
+                found = [units.runs(d, lambda f: has_bits(bits, f.view(np.int64))) for d in range(hi - lo)]
+                rows = pa.array(np.repeat(np.arange(lo, hi), [len(f[0]) for f in found]))
+                if len(rows):
+                    run, at, n = (np.concatenate(c) for c in zip(*found, strict=True))
                     held.append(pa.RecordBatch.from_arrays(
-                        [b.column(0).take(rows), b.column(2).take(rows),
-                         pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(ats).astype(np.int32))],
-                        ["id", "h", "run", "at"]))
+                        [b.column(0).take(rows), b.column(2).take(rows), pa.array(run.view(np.int64)),
+                         pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], ["id", "h", "run", "at", "n"]))
                     n_held += len(rows)
-                    if n_held >= HOLD_RUNS:
-                        yield _first_of_run(held)
-                        held, n_held = [], 0
+                if n_held >= HOLD_RUNS:
+                    yield _first_of_run(held)
+                    held, n_held = [], 0
         if held:
             yield _first_of_run(held)
 
-    return map_arrow(texts.select("id", "t", "h", "x"), run, f"id {id_type}, h long, run long, at int, later boolean")
+    return map_arrow(texts.select("id", "t", "h", "x"), run, f"id {id_type}, h long, run long, at int, n int, later boolean")
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, h, copy, starts): for each document with something to delete (h: its text's hash),
-    whether the whole text is a copy, and the word positions at which later repeated runs of
-    ``min_words`` words start."""
-    if min_words < GRAM:
-        raise ValueError(f"min_words must be at least {GRAM}")
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: Least = Least()) -> DataFrame:
+    """(id, h, copy, spans): for each document with something to delete (h: its text's hash), whether
+    the whole text is a copy, and the later repeated shortest runs (at: first word, n: words)."""
+    if least.words < GRAM or least.lines < 1:
+        raise ValueError(f"a passage has {GRAM} words at least, a run of lines one line")
     sc = docs.sparkSession.sparkContext
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t IS NOT NULL").select(
         "id", "t", F.xxhash64("t").alias("h")).withColumn("x", F.xxhash64("id", "h"))
     keys = stash(texts.select("id", "h", "x", F.xxhash64(F.lit(7), "t").alias("h2")), "texts")
-    first = keys.groupBy("h", "h2").agg(F.min(F.struct(F.col("id").isNotNull().alias("named"), "id")).alias("first"),
-                                        F.count("*").alias("m")).where("m > 1")
-    marked = keys.join(first, ["h", "h2"], "left").select(
-        "id", "h", "x", (F.col("m").isNotNull() & ~F.col("id").eqNullSafe(F.col("first.id"))).alias("copy"))
+    first = stash(keys.groupBy("h", "h2").agg(F.min(F.struct(F.col("id").isNotNull().alias("named"), "id")).alias("first"),
+                                              F.count("*").alias("m")).where("m > 1"), "first")
+    marked = stash(keys.join(first, ["h", "h2"], "left").select(
+        "id", "h", "x", (F.col("m").isNotNull() & ~F.col("id").eqNullSafe(F.col("first.id"))).alias("copy")), "marked")
     copies = stash(marked.where("copy").select("id", "h", "x").distinct(), "copies")
     found = bitmap(copies, "x", copies.count())
     bits = sc.broadcast(found)
@@ -180,63 +251,87 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
 
     kept = stash(map_arrow(marked.where("NOT copy").select("x"), wrongly_found, "x long"), "kept")
     masks = sc.broadcast((found, bitmap(kept, "x", kept.count())))
-    marks = stash(_fingerprints(texts, masks, min_words).groupBy("f").agg(F.count("*").alias("m")).where("m > 1").select("f"),
+    marks = stash(_fingerprints(texts, masks, least).groupBy("f").agg(F.count("*").alias("m")).where("m > 1").select("f"),
                   "fingerprints")
     repeated = sc.broadcast(bitmap(marks, "f", marks.count()))
-    runs = stash(_runs(texts, masks, repeated, min_words, id_type), "runs")
-    order = F.struct(F.col("id").isNotNull().alias("named"), F.col("id"), F.col("h"), F.col("at"))
-    firsts = runs.where("NOT later").repartition("run")
-    lead = firsts.groupBy("run").agg(F.min(order).alias("lead"), F.count("*").alias("m")).where("m > 1")
-    later = firsts.join(lead, "run").where(order > F.col("lead")).select("id", "h", "at")
-    starts = (later.unionByName(runs.where("later").select("id", "h", "at"))
-              .groupBy("id", "h").agg(F.collect_set("at").alias("starts")))
-    return (starts.select("id", "h", F.lit(False).alias("copy"), "starts").unionByName(
-        copies.select("id", "h", F.lit(True).alias("copy"), F.array().cast("array<int>").alias("starts")))
-        .groupBy("id", "h").agg(F.max("copy").alias("copy"), F.flatten(F.collect_list("starts")).alias("starts")))
-
-
-def cut(text: str | None, copy: bool | None, starts: list[int] | None, min_words: int) -> tuple[str | None, int, int, int]:
-    """(text without its later repeated runs, words, words deleted, runs deleted)."""
-    if text is None:
-        return None, 0, 0, 0
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    words = Words(raw, np.array([0, len(raw)]))
-    n = len(words.starts)
-    gone = np.zeros(n + 1, bool)
-    if copy and n >= min_words:
-        gone[:n] = True
-    elif starts:
-        edge = np.zeros(n + 1, np.int64)
-        at = np.array(starts)
+    runs = stash(_runs(texts, masks, repeated, least, id_type), "runs")
+    # rank and not row_number: equal rows are one document
+    by_run = Window.partitionBy("run").orderBy(F.col("id").asc_nulls_first(), "h", "at")
+    later = runs.where("NOT later").withColumn("place", F.rank().over(by_run)).where("place > 1")
+    span = F.struct("at", "n")
+    spans = (later.select("id", "h", "at", "n").unionByName(runs.where("later").select("id", "h", "at", "n"))
+             .groupBy("id", "h").agg(F.collect_set(span).alias("spans")))
+    return (spans.select("id", "h", F.lit(False).alias("copy"), "spans").unionByName(
+        copies.select("id", "h", F.lit(True).alias("copy"), F.array().cast("array<struct<at:int,n:int>>").alias("spans")))
+        .groupBy("id", "h").agg(F.max("copy").alias("copy"), F.flatten(F.collect_list("spans")).alias("spans")))
+
+
+def _delete(raw: np.ndarray, offs: np.ndarray, words: Words, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts of a buffer without the words marked ``gone``: bytes, offsets, and the number of
+    stretches deleted from each."""
+    rows = len(offs) - 1
+    of = np.repeat(np.arange(rows), np.diff(words.first))
+    begins, ends = gone.copy(), gone.copy()
+    begins[1:] &= ~gone[:-1] | (of[1:] != of[:-1])
+    ends[:-1] &= ~gone[1:] | (of[1:] != of[:-1])
+    a, b = np.flatnonzero(begins), np.flatnonzero(ends)
+    row = of[a]
+    inner_left, inner_right = a > words.first[row], b + 1 < words.first[row + 1]
+    left = np.where(inner_left, words.ends[a - 1], offs[row])
+    right = np.where(inner_right, words.starts[np.minimum(b + 1, len(of) - 1)], offs[row + 1])
+    breaks = np.concatenate([[0], np.cumsum(raw == 10)])
+    broken = breaks[words.starts[a]] - breaks[left] + breaks[right] - breaks[words.ends[b]] > 0
+    joint = inner_left & inner_right  # one white space stays between what is left on both sides
+    edge = np.zeros(len(raw) + 1, np.int64)
+    np.add.at(edge, left + joint, 1)
+    np.add.at(edge, right, -1)
+    keep = np.cumsum(edge[:-1]) == 0
+    out = raw.copy()
+    out[left[joint]] = np.where(broken[joint], 10, 32)
+    kept = np.concatenate([[0], np.cumsum(keep)])
+    return out[keep], kept[offs], np.bincount(row, minlength=rows)
+
+
+def cut(texts: pa.Array, copy: np.ndarray, spans: pa.ListArray | None, least: Least) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(texts without their later repeated runs, words, words deleted, stretches deleted)."""
+    raw, offs = text_buffer(texts)
+    words = Words(raw, offs)
+    first, n = words.first, len(words.starts)
+    edge = np.zeros(n + 1, np.int64)
+    if spans is not None and len(flat := spans.flatten()):
+        row = np.repeat(np.arange(len(texts)), np.diff(spans.offsets.to_numpy()))
+        at = first[row] + flat.field("at").to_numpy()
         np.add.at(edge, at, 1)
-        np.add.at(edge, np.minimum(n, at + min_words), -1)
-        gone[:n] = np.cumsum(edge[:-1]) > 0
-    if not gone.any():
-        return text, n, 0, 0
-    begin = np.flatnonzero(gone & ~np.concatenate([[False], gone[:-1]]))
-    end = np.flatnonzero(~gone & np.concatenate([[False], gone[:-1]]))
-    parts, last = [], 0
-    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
-        left = int(words.ends[a - 1]) if a else 0
-        right = int(words.starts[b]) if b < n else len(raw)
-        parts.append(raw[last:left].tobytes())
-        if a and b < n:
-            space = raw[left:words.starts[a]].tobytes() + raw[words.ends[b - 1]:right].tobytes()
-            parts.append(b"\n" if b"\n" in space else b" ")
-        last = right
-    parts.append(raw[last:].tobytes())
-    return b"".join(parts).decode("utf-8", "surrogatepass"), n, int(gone.sum()), len(begin)
+        np.add.at(edge, at + flat.field("n").to_numpy(), -1)
+    if copy.any():
+        lines, first_line = _line_starts(raw, words)
+        for d in np.flatnonzero(copy):
+            if first[d + 1] - first[d] >= least.words:
+                begin, end = first[d:d + 1], first[d + 1:d + 2]
+            else:
+                begin, end = _line_runs(lines[first_line[d]:first_line[d + 1]], first[d + 1], least)
+            np.add.at(edge, begin, 1)
+            np.add.at(edge, end, -1)
+    gone = np.cumsum(edge[:-1]) > 0
+    done = np.concatenate([[0], np.cumsum(gone)])
+    removed = done[first[1:]] - done[first[:-1]]
+    if not len(removed) or not removed.any():
+        return texts, np.diff(first), removed, np.zeros(len(texts), np.int64)
+    data, at, stretches = _delete(raw, offs, words, gone)
+    new = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes()))
+    return pc.if_else(texts.is_null(), pa.scalar(None, pa.string()), new.cast(pa.string())), np.diff(first), removed, stretches
 
 
 COUNTS = "n_words long, n_removed long, n_runs long"
+SPANS = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
-          min_words: int = MIN_WORDS, counts: bool = False) -> DataFrame:
+          least: Least = Least(), counts: bool = False) -> DataFrame:
     """``docs`` with the later repeated runs deleted from the texts: the same rows and columns, and
     the columns of ``COUNTS`` with ``counts``. ``chars_col``, where it exists, is set to the
     new length of the texts that changed."""
-    found = stash(repeats(docs, id_col, text_col, min_words), "repeats")
+    found = stash(repeats(docs, id_col, text_col, least), "repeats")
     names = docs.columns
     at = names.index(text_col)
     chars = names.index(chars_col) if chars_col in names else None
@@ -252,17 +347,22 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars
     if counts:
         fields += [f"c{k + i} long" for i in range(3)]
 
-    def result(b: pa.RecordBatch, copy: list, starts: list) -> pa.RecordBatch:
-        got = [cut(t.as_py(), c, s, min_words) if (counts or c is not None) else (None, 0, 0, 0)
-               for t, c, s in zip(b.column(at), copy, starts, strict=True)]
-        cols = list(b.columns[:k])
-        changed = pa.array([g[2] > 0 for g in got])
-        cols[at] = pc.if_else(changed, pa.array([g[0] for g in got], pa.string()), cols[at])
-        if chars is not None:
-            cols[chars] = pc.if_else(changed, pc.utf8_length(cols[at]).cast(cols[chars].type), cols[chars])
-        if counts:
-            cols += [pa.array([g[i] for g in got], pa.int64()) for i in (1, 2, 3)]
-        return pa.RecordBatch.from_arrays(cols, names=[f"c{i}" for i in range(len(cols))])
+    def result(b: pa.RecordBatch, known: bool) -> Iterator[pa.RecordBatch]:
+        _, offs = text_buffer(b.column(at))
+        for lo, hi in chunks(offs):
+            part = b.slice(lo, hi - lo)
+            cols = list(part.columns[:k])
+            if known or counts:
+                copy = pc.fill_null(part.column(k), False).to_numpy(zero_copy_only=False) if known else np.zeros(len(part), bool)
+                spans = pa.array(part.column(k + 1).to_pylist(), SPANS) if known else None
+                text, words, removed, stretches = cut(cols[at], copy, spans, least)
+                changed = pa.array(removed > 0)
+                cols[at] = pc.if_else(changed, text, cols[at])
+                if chars is not None:
+                    cols[chars] = pc.if_else(changed, pc.utf8_length(cols[at]).cast(cols[chars].type), cols[chars])
+                if counts:
+                    cols += [pa.array(c.astype(np.int64)) for c in (words, removed, stretches)]
+            yield pa.RecordBatch.from_arrays(cols, names=[f"c{i}" for i in range(len(cols))])
 
     def marked(b: pa.RecordBatch) -> np.ndarray:
         return has_bits(bits.value, b.column(k).to_numpy(zero_copy_only=False))
@@ -274,16 +374,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            b = b.filter(pa.array(~marked(b)))
-            for lo in range(0, len(b), SLICE_ROWS):
-                part = b.slice(lo, SLICE_ROWS)
-                yield result(part, [None] * len(part), [None] * len(part))
+            yield from result(b.filter(pa.array(~marked(b))), False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, len(b), SLICE_ROWS):
-                part = b.slice(lo, SLICE_ROWS)
-                yield result(part, part.column(k).to_pylist(), part.column(k + 1).to_pylist())
+            yield from result(b, True)
 
     # one Python worker a task: the rows that nothing is deleted from get their result in the
     # pass that finds them

@@ -75,7 +75,7 @@ def test_defined_values(docs, bench):
     assert sets[0]["n_shingles"] == sets[1]["n_shingles"] == sets[2]["n_shingles"] == 0
     assert sets[3]["n_shingles"] == 1 and sets[5]["component_id"] == 4 and sets[9]["component_id"] == 8
     clean = {r["doc_id"]: r for r in lines.dedup(docs).collect()}
-    assert clean[0]["text"] is None and clean[1]["text"] == "" and clean[5]["text"] == TEXTS[5]  # too short to go
+    assert clean[0]["text"] is None and clean[1]["text"] == "" and clean[4]["text"] == TEXTS[4] and clean[5]["text"] == ""
     assert clean[8]["text"] == LONG and clean[9]["text"] == "" and clean[9]["n_chars"] == 0
     lang = {r["doc_id"]: r for r in langid.predict(docs, [("en", b"one two three"), ("de", b"eins zwei drei")]).collect()}
     assert lang[0]["lang_pred"] == lang[6]["lang_pred"] == lang[7]["lang_pred"] == "und" and lang[4]["lang_pred"] == "en"

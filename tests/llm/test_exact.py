@@ -124,11 +124,23 @@ def test_quality_base_figures(spark, texts):
         assert got[i]["base_failed"] == (len(w) < 10 or 100 * len(rep) > 20 * len(w))
 
 
-def brute_lines(rows, least=50):
-    seen, out = set(), {}
+def brute_lines(rows, least=50, lines=1, line_words=2):
+    seen, seen_lines, out = set(), set(), {}
     for d, t in sorted(rows):
         w = SPACED.findall(t)
         gone = [False] * len(w)
+        at, starts = 0, []
+        for line in t.split("\n"):
+            n = len(SPACED.findall(line))
+            starts += [at] if n else []
+            at += n
+        starts.append(at)
+        for a, b in zip(starts, starts[lines:]):
+            if b - a >= line_words:
+                k = tuple(w[a:b])
+                if k in seen_lines:
+                    gone[a:b] = [True] * (b - a)
+                seen_lines.add(k)
         for p in range(len(w) - least + 1):
             k = tuple(w[p:p + least])
             if k in seen:
@@ -138,7 +150,8 @@ def brute_lines(rows, least=50):
     return out
 
 
-def test_line_dedup(spark, texts):
+@pytest.mark.parametrize("n_lines", [1, 2])
+def test_line_dedup(spark, texts, n_lines):
     rng = random.Random(11)
     passage = " ".join(f"p{i}" for i in range(57))
     rows = list(texts.items())
@@ -146,13 +159,20 @@ def test_line_dedup(spark, texts):
         t = " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randint(0, 90)))
         rows.append((10**6 + d, (t[:200] + (" " if d % 2 else "\n") + passage + "\n" + t[200:]) if d % 3 else t))
     rows += [(2 * 10**6, "the " * 400), (2 * 10**6 + 1, rows[-1][1])]
-    out = {r["doc_id"]: r for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string"), counts=True).collect()}
-    want = brute_lines(rows)
+    footer = " ".join(f"f{i}" for i in range(10))
+    rows += [(3 * 10**6 + d, f"own line {d}\n  {footer}\nyes\n" + "said twice\n" * (d % 3)) for d in range(4)]
+    rows += [(4 * 10**6, "one line three times\n" * 3), (4 * 10**6 + 1, "short text"), (4 * 10**6 + 2, " short  text\n")]
+    least = lines.Least(lines=n_lines)
+    out = {r["doc_id"]: r for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string"), counts=True, least=least).collect()}
+    want = brute_lines(rows, lines=n_lines)
     for d, t in rows:
         assert SPACED.findall(out[d]["text"]) == want[d]
         if out[d]["n_removed"] == 0:
             assert out[d]["text"] == t
     assert sum(passage in out[d]["text"] for d, _ in rows) == 1
+    if n_lines == 1:
+        assert sum(footer in out[d]["text"] for d, _ in rows) == 1
+        assert out[4 * 10**6]["text"] == "one line three times" and out[4 * 10**6 + 2]["text"] == ""
 
 
 @pytest.mark.parametrize("parts", [1, 2])
@@ -273,7 +293,7 @@ def test_word_hashes_and_bitmap(spark):
     assert has_bits(bits, np.arange(0, 4000, 2)).all() and has_bits(bits, np.arange(1, 4000, 2)).mean() < 0.05
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op5_language_id",)])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op5_language_id", "op12_prefix_trie")])
 def test_queries_return_a_row_for_each_of_their_table(spark, name):
     rows = QUERIES[name](spark, SF).collect()
     n = table(spark, SF, "documents").count() if name != "op2_chat_format" else table(spark, SF, "conversations").select("conv_id").distinct().count() + 1
