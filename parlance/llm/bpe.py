@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from struct import pack
@@ -162,13 +163,18 @@ class Codec:
 _CODECS: dict[str, Codec] = {}
 
 
-def _codec(shared) -> Codec:
-    """Per Python worker, so later tasks find the pieces of earlier ones."""
+@contextmanager
+def _codec(shared) -> Iterator[Codec]:
+    """The worker's codec; the pieces that a task has learnt go when it ends."""
     vocab, perfect, classes, tag = shared.value
     if tag not in _CODECS:
         _CODECS.clear()
         _CODECS[tag] = Codec(vocab, perfect, classes)
-    return _CODECS[tag]
+    codec = _CODECS[tag]
+    try:
+        yield codec
+    finally:
+        codec.memo.forget()
 
 
 @lru_cache(maxsize=2)
@@ -182,24 +188,26 @@ def _ship(df: DataFrame, ranks: bytes):
     return df.sparkSession.sparkContext.broadcast(_tables(ranks))
 
 
-def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>) of every row; ``ranks`` is the content of the rank file."""
+def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """(id, ids array<int>) of every row; ``ranks`` is the content of the rank file. With ``decoded``
+    the ids are decoded in the same pass, to the column ``decoded`` binary."""
     shared = _ship(docs, ranks)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
-        for b in batches:
-            raw, offs = text_buffer(b.column(1))
-            for lo, hi in chunks(offs):
-                rows = codec.encode(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))], ["id", "ids"])
+        with _codec(shared) as codec:
+            for b in batches:
+                raw, offs = text_buffer(b.column(1))
+                for lo, hi in chunks(offs):
+                    rows = codec.encode(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
+                    ends = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
+                    cols = [b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))]
+                    if decoded:
+                        cols.append(pa.array([codec.decode(ids.tolist()) for ids in rows], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(cols, ["id", "ids", "decoded"][:len(cols)])
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    return map_arrow(src, run, f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
+    return map_arrow(src, run, f"id {id_type}, ids array<int>" + ", decoded binary" * decoded).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -209,10 +217,10 @@ def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids", out_col: str
     names = [*encoded.columns, out_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
-        for b in batches:
-            out = [codec.decode(ids.values.to_numpy().tolist()) if ids.is_valid else b"" for ids in b.column(k)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=names)
+        with _codec(shared) as codec:
+            for b in batches:
+                out = [codec.decode(ids.values.to_numpy().tolist()) if ids.is_valid else b"" for ids in b.column(k)]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return map_arrow(encoded, run, f"{fields}, `{out_col}` binary")

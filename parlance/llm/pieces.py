@@ -141,3 +141,7 @@ class Memo(dict):
                 self.old = dict(self)
                 self.clear()
             self[piece] = value
+
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}

@@ -36,7 +36,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = tokenizer_file("byte_bpe_50k.tiktoken")
-    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks))
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), ranks, decoded=True))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
