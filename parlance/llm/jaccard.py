@@ -303,8 +303,9 @@ def _need_shared(percent: int):
     return F.greatest(F.lit(1), F.least(of("an"), of("bn")))
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id) of every row."""
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, keys: bool = False) -> DataFrame:
+    """(id, n_shingles, component_id) of every row; with ``keys`` also row_key (hash of id and text)
+    and class_key, which tells components apart also where ids repeat."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.xxhash64(id_col, text_col).alias("x"))
@@ -370,11 +371,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
              .join(stars, ["an", "ak", "bn", "bk"], "left_anti"))  # the stars have been checked
     more = _links(_overlaps(seg, stash(cross, "cross")), percent)
     every = components(_edges(links.union(more)))
-    named = sign.join(every, "k", "left").select("id", "n", F.coalesce("c", "k").alias("c"))
-    low = named.where("n > 0").groupBy("c").agg(F.min("id").alias("low"))
-    return (named.join(low, "c", "left")
-            .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("id")).alias("component_id")))
+    named = stash(sign.join(every, "k", "left").select("id", "x", "n", F.coalesce("c", "k").alias("c")), "named")
+    low = stash(named.where("n > 0").groupBy("c").agg(F.min("id").alias("low")), "lowest")
+    out = named.join(low, "c", "left").select(
+        F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("id")).alias("component_id"),
+        F.col("x").alias("row_key"), F.col("c").alias("class_key"))
+    return out if keys else out.drop("row_key", "class_key")
 
 
 def _pair(n: str, k: str, m: str, j: str):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.llm import bpe, decontam, jaccard, lines, toxicity
-from parlance.llm.common import table
+from parlance.llm.common import stash, table
 from parlance.llm.queries import tokenizer_file
 
 
@@ -21,11 +21,15 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, the one with the smallest id; rows that repeat its
-    id stay with it, and rows without an id stay."""
-    named = jaccard.join(docs)
-    gone = named.where("component_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document of each component stays, the one with the smallest id (then the smallest hash of
+    id and text; a null id comes last). Rows are told apart by id and text: rows equal in both are
+    one document, rows equal in the id only are not. Documents without words stay."""
+    named = stash(jaccard.join(docs, keys=True).where("n_shingles > 0"), "joined")
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
+    first = stash(named.groupBy("class_key").agg(F.min(row).alias("first")), "first")
+    gone = named.join(first, "class_key").where(row != F.col("first")).select("doc_id", "row_key").distinct()
+    same = (F.xxhash64(docs["doc_id"], docs["text"]) == gone["row_key"]) & docs["doc_id"].eqNullSafe(gone["doc_id"])
+    return docs.join(gone, same, "left_anti")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +38,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document, and the digests of the ids and of the decoded bytes."""
+    """(doc_id, digests, ids) of every document: the last stage returns these columns only."""
     ranks = tokenizer_file("byte_bpe_50k.tiktoken")
-    return bpe.digests(bpe.decode(bpe.encode(docs, ranks), ranks), extra=["ids"])
+    return bpe.digests(bpe.encode(docs, ranks, decoded=True), extra=["ids"])
 
 
 STAGES = [("toxicity", toxicity_stage), ("line dedup", line_dedup_stage), ("n-gram Jaccard join", jaccard_stage),
