@@ -93,9 +93,6 @@ class _Windows:
         self.hash = words.range_hash(at, at + k) if len(at) else np.zeros(0, np.uint64)
         self.first = np.searchsorted(at, words.first)
 
-    def of(self, d: int) -> np.ndarray:
-        return self.hash[self.first[d]:self.first[d + 1]]
-
 
 def _skip(batch: pa.RecordBatch, x: int, copies: np.ndarray, kept: np.ndarray) -> pa.RecordBatch:
     """The rows that are not copies: in the first bitmap, and not among its false positives."""
@@ -124,7 +121,8 @@ def _line_runs(at: np.ndarray, n_words: int, least: Least) -> tuple[np.ndarray,
 
 
 class _Units:
-    """The shortest runs of every text of a chunk: (fingerprint, run hash, first word, words)."""
+    """The shortest runs of all texts of a chunk: of passages (``best``: the gram that is the fingerprint
+    of each) and of lines (``begin`` to ``end``: their words, ``line_f``: their fingerprints)."""
 
     _LINE, _LINES = np.uint64(0x6C696E65), np.uint64(0x6C696E6573)
 
@@ -132,40 +130,40 @@ class _Units:
         self.least = least
         self.words = words = Words(buf, offs)
         self.grams = _Windows(words, GRAM)
-        self.at, self.first_line = _line_starts(buf, words)
-        self.line_hash = mix(words.range_hash(self.at, np.append(self.at, len(words.starts))[1:]) + self._LINE) \
-            if len(self.at) else np.zeros(0, np.uint64)
-
-    def lines_of(self, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Fingerprint, first word and end (in the chunk) of each run of lines of a text."""
-        a, b = self.first_line[d], self.first_line[d + 1]
-        at, end = self.at[a:b], np.append(self.at[a:b], self.words.first[d + 1])[self.least.lines:]
-        at = at[:len(end)]
-        f = self.line_hash[a:b][minima(self.line_hash[a:b], self.least.lines)]
-        long = end - at >= self.least.line_words
-        return f[long], at[long], end[long]
-
-    def fingerprints(self, d: int) -> np.ndarray:
-        g = self.grams.of(d)
-        return np.concatenate([g[winnow(g, self.least.words - GRAM + 1)], self.lines_of(d)[0]])
-
-    def runs(self, d: int, repeated) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, first word (of the text) and words of the runs whose fingerprint is repeated."""
-        g, w = self.grams.of(d), self.wide.of(d)
-        best = minima(g, self.least.words - GRAM + 1)
-        known = np.zeros(len(g), bool)
-        p = np.unique(best)
-        known[p] = repeated(g[p])
-        at = np.flatnonzero(known[best])
-        f, begin, end = self.lines_of(d)
-        ok = repeated(f)
-        begin, end = begin[ok], end[ok]
-        return (np.concatenate([w[at], mix(self.words.range_hash(begin, end) + self._LINES)]),
-                np.concatenate([at, begin - self.words.first[d]]), np.concatenate([np.full(len(at), self.least.words), end - begin]))
-
-    @cached_property
-    def wide(self) -> _Windows:
-        return _Windows(self.words, self.least.words)
+        self.best = self._inside(self.grams.hash, self.grams.first, least.words - GRAM + 1)
+        at, first = _line_starts(buf, words)
+        end = np.append(at, len(words.starts))[1:]
+        line = mix(words.range_hash(at, end) + self._LINE) if len(at) else np.zeros(0, np.uint64)
+        chosen = self._inside(line, first, least.lines)
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        lead = np.flatnonzero(text[:len(text) - least.lines + 1] == text[least.lines - 1:])  # first lines of the runs
+        begin, end = at[lead], end[lead + least.lines - 1]
+        long = end - begin >= least.line_words
+        self.begin, self.end, self.line_f, self.line_text = begin[long], end[long], line[chosen[long]], text[lead[long]]
+
+    @staticmethod
+    def _inside(hashes: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
+        """The minimum's position for each window that lies in one text."""
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        return minima(hashes, window)[text[:max(0, len(text) - window + 1)] == text[window - 1:]]
+
+    def fingerprints(self) -> np.ndarray:
+        return np.concatenate([self.grams.hash[np.unique(self.best)], self.line_f])
+
+    def runs(self, repeated) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, run hash, first word of the text, words) of the runs whose fingerprint is repeated."""
+        wide = _Windows(self.words, self.least.words)
+        known = np.zeros(len(self.grams.hash), bool)
+        p = np.unique(self.best)
+        known[p] = repeated(self.grams.hash[p])
+        hit = np.flatnonzero(known[self.best])
+        text = np.searchsorted(wide.first, hit, "right") - 1
+        ok = repeated(self.line_f)
+        begin, end, of = self.begin[ok], self.end[ok], self.line_text[ok]
+        lines = mix(self.words.range_hash(begin, end) + self._LINES) if len(begin) else np.zeros(0, np.uint64)
+        return (np.concatenate([text, of]), np.concatenate([wide.hash[hit], lines]),
+                np.concatenate([hit - wide.first[text], begin - self.words.first[of]]),
+                np.concatenate([np.full(len(hit), self.least.words), end - begin]))
 
 
 def _fingerprints(texts: DataFrame, masks, least: Least) -> DataFrame:
@@ -175,8 +173,7 @@ def _fingerprints(texts: DataFrame, masks, least: Least) -> DataFrame:
             b = _skip(b, 1, *masks.value)
             raw, offs = text_buffer(b.column(0))
             for lo, hi in chunks(offs):
-                units = _Units(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], least)
-                flat = np.concatenate([units.fingerprints(d) for d in range(hi - lo)])
+                flat = _Units(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], least).fingerprints()
                 if len(flat):
                     yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["f"])
 
@@ -210,10 +207,9 @@ def _runs(texts: DataFrame, masks, repeated, least: Least, id_type: str) -> Data
             raw, offs = text_buffer(b.column(1))
             for lo, hi in chunks(offs):
                 units = _Units(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], least)
-                found = [units.runs(d, lambda f: has_bits(bits, f.view(np.int64))) for d in range(hi - lo)]
-                rows = pa.array(np.repeat(np.arange(lo, hi), [len(f[0]) for f in found]))
-                if len(rows):
-                    run, at, n = (np.concatenate(c) for c in zip(*found, strict=True))
+                text, run, at, n = units.runs(lambda f: has_bits(bits, f.view(np.int64)))
+                if len(text):
+                    rows = pa.array(text + lo)
                     held.append(pa.RecordBatch.from_arrays(
                         [b.column(0).take(rows), b.column(2).take(rows), pa.array(run.view(np.int64)),
                          pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], ["id", "h", "run", "at", "n"]))
