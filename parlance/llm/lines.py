@@ -181,7 +181,7 @@ def _fingerprints(texts: DataFrame, masks, least: Least) -> DataFrame:
 
 
 def _first_of_run(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """The held runs, each but the first of its hash marked ``later``. Rows equal in id and text
+    """The held runs: the first of each hash, and the others merged and marked ``later``. Rows equal in id and text
     give the same runs; one of each is left, as none of them comes before the others."""
     t = pa.Table.from_batches(parts).combine_chunks()
     t = t.take(pc.sort_indices(t, [(c, "ascending") for c in ("run", "id", "h", "at")], null_placement="at_start"))
@@ -192,7 +192,25 @@ def _first_of_run(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     run = t["run"].to_numpy()
     later = np.zeros(len(run), bool)
     later[1:] = run[1:] == run[:-1]
-    return t.append_column("later", pa.array(later)).combine_chunks().to_batches()[0]
+    return pa.concat_tables([_stretches(t.filter(pa.array(later)), ids[~same][later]),
+                             t.filter(pa.array(~later)).append_column("later", pa.array(np.zeros(int((~later).sum()), bool)))]
+                            ).combine_chunks().to_batches()[0]
+
+
+def _stretches(t: pa.Table, ids: np.ndarray) -> pa.Table:
+    """The later runs, those that overlap or touch in a document as one (the hash is its first one's)."""
+    h, at, n = (t[c].to_numpy() for c in ("h", "at", "n"))
+    by = np.lexsort((at, h, ids))
+    ids, h, at, end = ids[by], h[by], at[by].astype(np.int64), (at + n)[by].astype(np.int64)
+    head = np.ones(len(by), bool)
+    head[1:] = (ids[1:] != ids[:-1]) | (h[1:] != h[:-1])
+    doc = np.cumsum(head)
+    reach = np.maximum.accumulate(end + doc * (1 << 32)) - doc * (1 << 32) if len(by) else end
+    head[1:] |= at[1:] > reach[:-1]
+    first = np.flatnonzero(head)
+    last = np.append(first[1:], len(by)) - 1 if len(by) else first
+    return t.take(pa.array(by[first])).set_column(t.schema.get_field_index("n"), "n", pa.array((reach[last] - at[first]).astype(np.int32))
+                                                  ).append_column("later", pa.array(np.ones(len(first), bool)))
 
 
 def _runs(texts: DataFrame, masks, repeated, least: Least, id_type: str) -> DataFrame:
@@ -319,7 +337,6 @@ def cut(texts: pa.Array, copy: np.ndarray, spans: pa.ListArray | None, least: Le
 
 
 COUNTS = "n_words long, n_removed long, n_runs long"
-SPANS = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
@@ -350,7 +367,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars
             cols = list(part.columns[:k])
             if known or counts:
                 copy = pc.fill_null(part.column(k), False).to_numpy(zero_copy_only=False) if known else np.zeros(len(part), bool)
-                spans = pa.array(part.column(k + 1).to_pylist(), SPANS) if known else None
+                spans = part.column(k + 1) if known else None
                 text, words, removed, stretches = cut(cols[at], copy, spans, least)
                 changed = pa.array(removed > 0)
                 cols[at] = pc.if_else(changed, text, cols[at])
