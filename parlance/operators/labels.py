@@ -81,8 +81,12 @@ def tokenize_columns(df: DataFrame, key_cols: list[str], columns: dict[str, str]
     tagged = F.flatten(F.array(*[F.transform(split_tokens(F.col(src)), tag(k))
                                  for k, src in enumerate(columns.values())]))
     toks = df.select(*key_cols, F.explode(tagged).alias("_t")).select(*key_cols, "_t._c", "_t._p", "_t.token")
-    ids = (toks.join(vocab, "token", "left")
-               .withColumn("_id", F.coalesce(marker_id(F.col("token")), F.col("token_id"))))
+    # markers are in no dictionary; spread by row, so that a frequent one is no hot join key
+    spread = F.concat("token", F.lit("#"), F.pmod(F.xxhash64(*key_cols), F.lit(4096)).cast("string"))
+    toks = toks.withColumn("_m", marker_id(F.col("token")))
+    ids = (toks.withColumn("token", F.when(F.col("_m").isNotNull(), spread).otherwise(F.col("token")))
+               .join(vocab, "token", "left")
+               .withColumn("_id", F.coalesce("_m", "token_id")))
     grouped = (ids.groupBy(*key_cols)
                   .agg(*[F.array_sort(F.collect_list(F.when(F.col("_c") == k, F.struct("_p", "_id")))).alias(f"_s{k}")
                          for k in range(len(outs))])

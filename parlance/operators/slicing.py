@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from parlance.operators.rejects import without_bad_entries
+
 
 class Seg(NamedTuple):
     start: float
@@ -228,7 +230,8 @@ def generate_slices(segments: DataFrame, slice_length: float = 30, threshold: fl
     audio_duration)`` -> one row per slice ``(entry_id, slice_idx, seek, segments)``.
 
     Segments are taken in ``seg_idx`` order (file order), as the reference does not sort
-    them by time.
+    them by time. An entry with a segment that has no start, end or duration gives no slice
+    (FLT10, ``operators.rejects`` lists it); the other entries are not touched by it.
     """
     spark = segments.sparkSession
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -276,7 +279,7 @@ def generate_slices(segments: DataFrame, slice_length: float = 30, threshold: fl
         if out["seek"]:
             yield flush()
 
-    ordered = (segments.select("entry_id", "seg_idx", "start", "end", "text", "word_scores", "audio_duration")
-               .repartition(p, "entry_id")
-               .sortWithinPartitions("entry_id", "seg_idx"))
+    together = segments.select("entry_id", "seg_idx", "start", "end", "text", "word_scores",
+                               "audio_duration").repartition(p, "entry_id")
+    ordered = without_bad_entries(together).sortWithinPartitions("entry_id", "seg_idx")
     return ordered.mapInArrow(run, schema)

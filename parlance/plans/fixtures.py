@@ -82,15 +82,22 @@ def segment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seg.select("entry_id", "seg_idx", "start", "end", "text", "word_scores", "audio_duration")
 
 
-def fixed_hop_slices(spark: SparkSession, sf_dir: str, slice_length: float = 30) -> DataFrame:
-    """Prepared slices of F1 with a fixed hop (no greedy packing), SQL-expressible.
+def broken_segment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 segments of which some lack their start: where (length(text) * 13 + turn) % 61 is 7."""
+    seg = segment_rows(spark, sf_dir)
+    return seg.withColumn("start", F.when((F.length("text") * 13 + F.col("seg_idx")) % 61 != 7, F.col("start")))
+
+
+def fixed_hop_slices(spark: SparkSession, sf_dir: str, slice_length: float = 30, segments: DataFrame | None = None) -> DataFrame:
+    """Prepared slices of F1 (or of ``segments``) with a fixed hop (no greedy packing), SQL-expressible.
 
     slice_idx = floor(start / L); a segment whose end passes the slice end is open;
     every slice index from 0 to ceil(duration / L) - 1 exists, empty ones included.
     Output: entry_id, slice_idx, seek, segments (ordered by seg_idx).
     """
     L = float(slice_length)
-    seg = segment_rows(spark, sf_dir).withColumn("slice_idx", F.floor(F.col("start") / L).cast("bigint"))
+    seg = segment_rows(spark, sf_dir) if segments is None else segments
+    seg = seg.withColumn("slice_idx", F.floor(F.col("start") / L).cast("bigint"))
     seek = F.col("slice_idx").cast("double") * L
     closed = (F.col("end") - seek) <= L
     item = F.struct(

@@ -10,6 +10,7 @@ prepare_labels  examples -> adaptive ratios (bounded scan) -> label assembly ->
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from parlance.functions.random import uniform
 from parlance.operators import filters as FL
 from parlance.operators import labels as LB
 from parlance.operators import merging as MG
+from parlance.operators import rejects as RJ
 from parlance.operators import sampling as SM
 from parlance.operators import scoring as SC
 from parlance.operators.slicing import generate_slices
@@ -27,43 +29,64 @@ from parlance.sources import files as FS
 from parlance.sources.sinks import pending
 
 
-def build_dataset(spark: SparkSession, root: str, audio_glob: str = "audio.*", segments_glob: str = "transcript.*.json",
-                  metadata_glob: str = "metadata.json", slice_length: float = 30, quality_threshold: float = 0.0,
-                  per_segment_quality_threshold: float = 0.0, exclude_filters: list[str] | None = None,
-                  copy_metadata_fields: list[str] | None = None, max_source_entries: int | None = None,
-                  seed: int = 745, eval_fraction: float = 0.0) -> DataFrame:
+class Build(NamedTuple):
+    """Examples of a build and what it could not use: rows of ``operators.rejects.COLUMNS``."""
+
+    examples: DataFrame
+    rejects: DataFrame
+
+
+def build_dataset(spark: SparkSession, root: str, *args, **options) -> DataFrame:
+    """The examples of ``build_with_rejects``."""
+    return build_with_rejects(spark, root, *args, **options).examples
+
+
+def build_with_rejects(spark: SparkSession, root: str, audio_glob: str = "audio.*", segments_glob: str = "transcript.*.json",
+                       metadata_glob: str = "metadata.json", slice_length: float = 30, quality_threshold: float = 0.0,
+                       per_segment_quality_threshold: float = 0.0, exclude_filters: list[str] | None = None,
+                       copy_metadata_fields: list[str] | None = None, max_source_entries: int | None = None,
+                       seed: int = 745, eval_fraction: float = 0.0) -> Build:
     """Pipeline 3.1. Entries are gated on metadata before any caption is parsed.
 
+    An entry is a folder: two folders that name the same source ids are never mixed. ``entry_id``
+    of the examples is the one that the metadata gives, ``entry_dir`` the folder. Entries with
+    unreadable metadata or captions or a bad segment, and slices without a transcript, are in
+    ``rejects`` (by folder); excluded and gated entries are not, as nothing was wrong with them.
+
     Audio is not decoded here: the entry duration comes from the metadata field
     ``duration`` when present, else from the last caption end.
     """
     man = FS.manifest(spark, root, audio_glob, segments_glob, metadata_glob)
     meta = FS.read_metadata(spark, man, root, metadata_glob)
-    meta = FL.exclude_by_metadata(meta, "metadata_json", exclude_filters or [])
+    parsed = F.try_parse_json("metadata_json").isNotNull()
+    rejects = RJ.unreadable(meta, parsed, "metadata is not JSON", "entry_dir")
+    meta = FL.exclude_by_metadata(meta.where(F.coalesce(parsed, F.lit(False))), "metadata_json", exclude_filters or [])
     score = F.get_json_object("metadata_json", "$.quality_score").cast("double")
     meta = FL.quality_gate(meta, score, quality_threshold)
     meta = (meta.withColumn("source", F.coalesce(F.get_json_object("metadata_json", "$.source_id"), F.lit("unknown")))
-                .withColumn("entry_id", F.coalesce(F.get_json_object("metadata_json", "$.source_entry_id"),
+                .withColumn("named_id", F.coalesce(F.get_json_object("metadata_json", "$.source_entry_id"),
                                                    F.sha2(F.col("entry_dir"), 256))))
     if max_source_entries:
         meta = SM.shuffled_head(meta, "entry_dir", max_source_entries, seed)
     caps = FS.read_captions(spark, meta, root, segments_glob)
-    segs = FS.read_segments(spark, caps)
+    readable = FS.readable_captions(F.col("segments_json"))
+    rejects = rejects.unionByName(RJ.unreadable(caps, readable, "captions are not JSON", "entry_dir"))
+    segs = FS.read_segments(spark, caps.where(readable)).withColumn("entry_id", F.col("entry_dir"))
     dur = F.coalesce(F.get_json_object("metadata_json", "$.duration").cast("double"),
                      F.max("end").over(Window.partitionBy("entry_id")))
-    segs = segs.withColumn("audio_duration", dur)
-    slices = generate_slices(segs.select("entry_id", "seg_idx", "start", "end", "text", "word_scores",
-                                         "audio_duration"),
-                             slice_length=slice_length, threshold=per_segment_quality_threshold)
+    segs = segs.withColumn("audio_duration", dur).select("entry_id", "seg_idx", "start", "end", "text", "word_scores", "audio_duration")
+    slices = generate_slices(segs, slice_length=slice_length, threshold=per_segment_quality_threshold)
+    rejects = rejects.unionByName(RJ.entry_rejects(segs)).unionByName(RJ.slice_rejects(slices))
     # the join and the example windows share one partitioning on entry_id
-    info = meta.select("entry_id", "source", "metadata_json")
-    copied = {f: FL.json_value(F.col("metadata_json"), f) for f in (copy_metadata_fields or [])}
+    info = meta.select(F.col("entry_dir").alias("entry_id"), "named_id", "source", "metadata_json")
+    copied = {f: FL.json_field(F.col("metadata_json"), f) for f in (copy_metadata_fields or [])}
     ex = MG.build_examples(slices.join(info, "entry_id"), slice_length=slice_length,
-                           source_col=F.col("source"), entry_col=F.col("entry_id"), copy_fields=copied)
+                           source_col=F.col("source"), entry_col=F.col("named_id"), copy_fields=copied)
     if eval_fraction:
         ex = SM.train_eval_split(ex.withColumn("_k", F.concat_ws(":", "entry_id", "slice_idx")), "_k",
                                  eval_fraction, seed).drop("_k")
-    return ex
+    ex = ex.withColumnRenamed("entry_id", "entry_dir").withColumn("entry_id", F.col("metadata.entry_id"))
+    return Build(ex.select("entry_id", *[c for c in ex.columns if c != "entry_id"]), rejects)
 
 
 def evaluate(df: DataFrame, text_col: str, scorer_factory: Callable, factory_kwargs: dict | None = None,
@@ -93,15 +116,17 @@ def summarize(rows: DataFrame, group_cols: list[str] = ("model", "dataset")) ->
 def prepare_labels(examples: DataFrame, key_cols: list[str], timestamp_prob: float = 0.5,
                    prev_prob: float = 0.5, seed: int = 998, shared_ratio: bool = True,
                    inject_synthetic: bool = False, duration_col: str | None = None,
-                   shift_augmentation: bool = False) -> DataFrame:
+                   shift_augmentation: bool = False, rejects: bool = False) -> DataFrame:
     """Pipeline 3.3 on the text side (audio features are out of scope).
 
     When either probability is below 1, the exact attribute shares of all rows are turned
     into relative sampling ratios (AGG8); the timestamp probability drives both ratios unless ``shared_ratio`` is
-    False. Output: keys + ``labels``, legal rows only (FLT4).
+    False. Output: keys + ``labels``, legal rows only (FLT4); with ``rejects`` the keys of the
+    others and their reason (FLT10).
     """
     ex = examples.withColumn("_key", F.concat_ws(":", *key_cols))
-    vocab = LB.build_vocabulary(ex, "transcript")
+    both = F.array_join(F.array_compact(F.array("transcript", "prev_transcript")), " ") if "prev_transcript" in ex.columns else F.col("transcript")
+    vocab = LB.build_vocabulary(ex.select(both.alias("words_of")), "words_of")
     if "prev_transcript" in ex.columns:
         t = LB.tokenize_columns(ex, ["_key"], {"ids": "transcript", "prev_ids": "prev_transcript"}, vocab)
     else:
@@ -124,5 +149,7 @@ def prepare_labels(examples: DataFrame, key_cols: list[str], timestamp_prob: flo
     labels = LB.assemble_labels(F.col("ids"), F.col("prev_ids"), F.col("_has_ts"), F.col("_has_prev"),
                                 train_ts, cond_prev, inject_synthetic, shift,
                                 F.col(duration_col) if duration_col else F.lit(0.0))
-    out = t.withColumn("labels", labels).filter(F.col("labels").isNotNull())
-    return FL.legal_label_length(out).select(*key_cols, "labels")
+    out = t.withColumn("labels", labels).withColumn("reason", RJ.label_reason(F.col("labels")))
+    if rejects:
+        return out.where("reason IS NOT NULL").select(*key_cols, "reason")
+    return out.where("reason IS NULL").select(*key_cols, "labels")

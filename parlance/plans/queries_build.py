@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parlance.operators import merging as MG
+from parlance.operators import rejects as RJ
 from parlance.operators.slicing import generate_slices
 from parlance.plans import fixtures as FX
 from parlance.plans.catalog import register, sql_words
@@ -125,6 +126,29 @@ def gap_merge_fixed_hop(spark, sf_dir):
                      .alias("text_md5"))
 
 
+# FLT10: bad entries and slices with a reason. Some segments lack their start; slices are 40 s long,
+# so a marker can lie beyond the last time token (30 s).
+_WIDE_HOP = SQL_FIXED_HOP.replace("30", "40")
+
+
+@register("rejected_segments_conversations", f"""
+WITH {SQL_F1.replace("seg AS (", "seg_all AS (")},
+broken AS (SELECT *, (length(text) * 13 + seg_idx) % 61 = 7 AS bad FROM seg_all),
+seg AS (SELECT * FROM broken WHERE entry_id NOT IN (SELECT entry_id FROM broken WHERE bad)),
+{_WIDE_HOP}, {SQL_MERGE}, {SQL_EXAMPLES}
+SELECT 'entry' AS level, entry_id, NULL::INTEGER AS slice_idx, 'segment without a start' AS reason, CAST(count(*) AS BIGINT) AS n
+FROM broken WHERE bad GROUP BY entry_id
+UNION ALL
+SELECT 'slice', entry_id, CAST(slice_idx AS INTEGER), 'timestamp token out of range', 1::BIGINT
+FROM ex WHERE nseg > 0 AND transcript IS NULL
+""")
+def rejected_segments_conversations(spark, sf_dir):
+    seg = FX.broken_segment_rows(spark, sf_dir)
+    good = RJ.without_bad_entries(seg)
+    slices = FX.fixed_hop_slices(spark, sf_dir, 40, good)
+    return RJ.entry_rejects(seg).unionByName(RJ.slice_rejects(slices)).select(*RJ.COLUMNS)
+
+
 # WIN1 greedy slicer over F1 (threshold 0.5); SQL cannot run the state machine, the
 # rules are checked by the golden tests and a pure-Python replay test.
 @register("greedy_slices")

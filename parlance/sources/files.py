@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +81,11 @@ def read_captions(spark: SparkSession, man: DataFrame, root: str, glob: str) ->
     return man.join(texts, _same_path(man["segments_path"], texts["_sp"]), "left").drop("_sp")
 
 
+def readable_captions(json_col: Column) -> Column:
+    """Whether a captions text is a JSON array of segments."""
+    return F.coalesce(F.from_json(json_col, CAPTIONS, {"mode": "PERMISSIVE"}).isNotNull() & json_col.rlike(r"^\s*\["), F.lit(False))
+
+
 def read_segments(spark: SparkSession, entries: DataFrame, json_col: str = "segments_json") -> DataFrame:
     """SRC3: captions JSON array -> one row per segment in file order, with word scores.
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parlance.functions import text as TX
-from parlance.operators.filters import split_errors
-from parlance.operators.merging import rejected_slices, transcript
+from parlance.operators.merging import rejected_slices
+from parlance.operators.rejects import slice_rejects
 from parlance.operators.slicing import SLICE_SEGMENT
 from parlance.sources.specs import read_prepared
 
@@ -27,10 +27,7 @@ def test_transcript_error_rows_are_split_out(spark):
     df = spark.createDataFrame([(1, 0, 0.0, [seg(0.0, 5.0, "ok")]), (1, 1, 40.0, [seg(0.0, 45.0, "too long")])], schema)
     rej = rejected_slices(df).collect()
     assert [(r["entry_id"], r["slice_idx"]) for r in rej] == [(1, 1)]
-    x = df.withColumn("t", transcript(F.col("segments"))).withColumn(
-        "error", F.when(F.col("t").isNull(), F.lit("timestamp token out of range")))
-    good, bad = split_errors(x)
-    assert good.count() == 1 and bad.count() == 1
+    assert [tuple(r) for r in slice_rejects(df).collect()] == [("slice", 1, 1, "timestamp token out of range", 1)]
 
 
 def test_prefix_space_rule(spark):
