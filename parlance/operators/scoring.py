@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from parlance.functions import align as A
 from parlance.functions import text as TX
-from parlance.operators.balance import spread_for_cpu
 from parlance.operators.ranks import order_stats
 
 COUNT_COLS = ["substitutions", "deletions", "insertions", "hits"]
@@ -25,7 +24,7 @@ def score_pairs(df: DataFrame, ref_col: str = "reference_text", hyp_col: str = "
 
     The normaliser is pluggable (UDF2): any Column -> Column function.
     """
-    out = (spread_for_cpu(df).withColumn("norm_reference_text", normalizer(F.coalesce(F.col(ref_col), F.lit(""))))
+    out = (df.withColumn("norm_reference_text", normalizer(F.coalesce(F.col(ref_col), F.lit(""))))
              .withColumn("norm_predicted_text", normalizer(F.coalesce(F.col(hyp_col), F.lit(""))))
              .withColumn("_al", A.align(F.col("norm_reference_text"), F.col("norm_predicted_text"))))
     s, d, i, h = (F.col(f"_al.{c}") for c in COUNT_COLS)
@@ -53,23 +52,23 @@ def corpus_metrics(scored: DataFrame, group_cols: list[str]) -> DataFrame:
 
 def orthographic_and_normalized_wer(pairs: DataFrame, group_cols: list[str], ref_col: str, hyp_col: str,
                                     normalizer: Callable[[Column], Column] = TX.basic_normalize) -> DataFrame:
-    """AGG11: WER on raw text and on normalised text with empty references dropped (FLT5)."""
-    pairs = spread_for_cpu(pairs)
-    raw = (pairs.withColumn("_al", A.align(F.col(ref_col), F.col(hyp_col)))
-                .groupBy(*group_cols)
-                .agg(*[F.sum(f"_al.{c}").alias(f"o_{c}") for c in COUNT_COLS]))
-    normed = (pairs.withColumn("_r", normalizer(F.col(ref_col)))
-                   .withColumn("_h", normalizer(F.col(hyp_col)))
-                   .filter(F.length(F.trim(F.col("_r"))) > 0)
-                   .withColumn("_al", A.align(F.col("_r"), F.col("_h")))
-                   .groupBy(*group_cols)
-                   .agg(*[F.sum(f"_al.{c}").alias(f"n_{c}") for c in COUNT_COLS]))
-    j = raw.join(normed, on=group_cols, how="left")
+    """AGG11: WER on raw text and on normalised text with empty references dropped (FLT5).
+
+    One pass and one aggregate: both alignments are columns of a row, and an empty normalised
+    reference leaves its row out of the second sums only. A null group is a group; one whose
+    normalised references are all empty has a null ``wer_norm``."""
+    r, h = normalizer(F.col(ref_col)), normalizer(F.col(hyp_col))
+    normed = pairs.select(*group_cols, F.col(ref_col).alias("_r0"), F.col(hyp_col).alias("_h0"), r.alias("_r"), h.alias("_h"))
+    both = normed.select(*group_cols, A.align(F.col("_r0"), F.col("_h0")).alias("_o"),
+                         (F.length(F.trim(F.col("_r"))) > 0).alias("_said"), A.align(F.col("_r"), F.col("_h")).alias("_n"))
+    sums = both.groupBy(*group_cols).agg(
+        *[F.sum(f"_o.{c}").alias(f"o_{c}") for c in COUNT_COLS],
+        *[F.sum(F.when(F.col("_said"), F.col(f"_n.{c}"))).alias(f"n_{c}") for c in COUNT_COLS])
 
     def w(p):
         return F.round(A.wer(F.col(f"{p}_substitutions"), F.col(f"{p}_deletions"),
                              F.col(f"{p}_insertions"), F.col(f"{p}_hits")), 6)
-    return j.select(*group_cols, w("o").alias("wer_ortho"), w("n").alias("wer_norm"))
+    return sums.select(*group_cols, w("o").alias("wer_ortho"), w("n").alias("wer_norm"))
 
 
 def guarded_ratio(num: Column, den: Column) -> Column:

@@ -47,8 +47,8 @@ t AS (SELECT role, CAST(sum(n + m - 2 * hits - cost) AS BIGINT) AS substitutions
              CAST(sum(hits) AS BIGINT) AS hits, count(*) AS n_pairs FROM c GROUP BY role)
 SELECT *, round(CASE WHEN hits + substitutions + deletions > 0
                      THEN (substitutions + deletions + insertions) / (hits + substitutions + deletions) END, 6) AS wer,
-          round(CASE WHEN hits + substitutions + deletions > 0 AND hits + substitutions + insertions > 0
-                     THEN 1 - (hits / (hits + substitutions + deletions)) * (hits / (hits + substitutions + insertions)) END, 6) AS wil
+          round(CASE WHEN hits + substitutions + deletions = 0 THEN NULL WHEN hits + substitutions + insertions = 0 THEN 1.0
+                     ELSE 1 - (hits / (hits + substitutions + deletions)) * (hits / (hits + substitutions + insertions)) END, 6) AS wil
 FROM t
 """
 
@@ -60,6 +60,39 @@ def corpus_wer_by_role(spark, sf_dir):
     return SC.corpus_metrics(scored, ["role"])
 
 
+# AGG11 + FLT5 on conversation turns: short enough for the alignment in SQL
+def _sql_counts(cte: str, ref: str, hyp: str) -> str:
+    """Per row of ``cte``: n and m (words), cost and hits of the best alignment."""
+    return f"""
+SELECT role, n, m, CASE WHEN zz IS NULL THEN greatest(n, m) ELSE CAST(ceil(zz[len(zz)] / {float(_B)!r}) AS BIGINT) END AS cost,
+       CASE WHEN zz IS NULL THEN 0 ELSE CAST(ceil(zz[len(zz)] / {float(_B)!r}) AS BIGINT) * {_B} - zz[len(zz)] END AS hits
+FROM (SELECT role, len(r) AS n, len(h) AS m, CASE WHEN len(r) = 0 OR len(h) = 0 THEN NULL ELSE
+  list_reduce(list_transform(range(1, len(r) + 1), lambda i: [i::BIGINT]),
+    lambda row, iw: list_reduce(
+      list_transform(range(1, len(h) + 1), lambda j: [least(row[j + 1] + {_B}, row[j] + CASE WHEN r[iw[1]] = h[j] THEN -1 ELSE {_B} END)]),
+      lambda acc, x: list_append(acc, least(x[1], acc[len(acc)] + {_B})),
+      [row[1] + {_B}]),
+    list_transform(range(0, len(h) + 1), lambda j: j::BIGINT * {_B})) END AS zz
+  FROM (SELECT role, {sql_words(ref)} AS r, {sql_words(hyp)} AS h FROM {cte}))"""
+
+
+_SQL_WER = "CASE WHEN sum(n) > 0 THEN sum(cost) / sum(n) END"
+
+
+@register("wer_ortho_vs_norm_by_role", f"""
+WITH p AS (SELECT role, text AS ref, {sql_degrade(sql_words('text'))} AS hyp FROM conversations),
+q AS (SELECT role, {SQL_BASIC_NORM.format(t='ref')} AS ref, {SQL_BASIC_NORM.format(t='hyp')} AS hyp FROM p),
+s AS (SELECT * FROM q WHERE length(trim(ref)) > 0),
+o AS (SELECT role, {_SQL_WER} AS w FROM ({_sql_counts('p', 'ref', 'hyp')}) GROUP BY role),
+z AS (SELECT role, {_SQL_WER} AS w FROM ({_sql_counts('s', 'ref', 'hyp')}) GROUP BY role)
+SELECT o.role, round(o.w, 6) AS wer_ortho, round(z.w, 6) AS wer_norm FROM o LEFT JOIN z ON z.role = o.role
+""")
+def wer_ortho_vs_norm_by_role(spark, sf_dir):
+    """AGG11 + FLT5 per speaker role."""
+    return SC.orthographic_and_normalized_wer(FX.conversation_pairs(spark, sf_dir), ["role"],
+                                              "reference_text", "predicted_text")
+
+
 @register("wer_ortho_vs_norm_by_source")
 def wer_ortho_vs_norm_by_source(spark, sf_dir):
     """AGG11 + FLT5 per document source."""
