@@ -1,5 +1,6 @@
 """STR4: resumable packing equals the batch slicer, in pure Python and as a stream."""
 
+import datetime
 import random
 import tempfile
 
@@ -57,3 +58,41 @@ def test_stream_slicer_equals_batch(spark):
     got = spark.table("str4").select("entry_id", "slice_idx", "seek", F.to_json("segments").alias("j")).collect()
     want = generate_slices(seg, 30, 0.5).select("entry_id", "slice_idx", "seek", F.to_json("segments").alias("j")).collect()
     assert sorted(got) == sorted(want) and len(got) > 0
+
+
+def _run(spark, batches, schema, name):
+    """The stream over the batches in this order, one file each."""
+    d, ck = tempfile.mkdtemp(prefix="parlance-segstream-"), tempfile.mkdtemp(prefix="parlance-ckpt-")
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d)
+    out = None
+    for b in batches:  # written and processed one after the other
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(d)
+        q = (stream_slices(s, 30, 0.0).writeStream.format("memory").queryName(name).outputMode("append")
+             .option("checkpointLocation", ck).start()) if out is None else out
+        out = q
+        q.processAllAvailable()
+    out.stop()
+    return spark.table(name).select("entry_id", "slice_idx", "seek", F.to_json("segments").alias("j")).collect()
+
+
+def test_late_repeated_reordered_and_overlong_segments(spark):
+    """Entry 1 comes out of order and repeated, entry 2 goes on beyond its audio's end, entry 3 has a
+    null start: the slices are the batch slicer's, and none comes twice."""
+    rng = random.Random(3)
+    schema = ("entry_id long, seg_idx long, ts timestamp, start double, end double, text string, word_scores array<double>, "
+              "audio_duration double, is_last boolean")
+    t0 = datetime.datetime(2024, 1, 1)
+    def rows(e, n, dur):
+        return [(e, k, t0 + datetime.timedelta(seconds=k % 30), 7.0 * k, 7.0 * k + 6, f"s{k}", [0.9], dur, k == n - 1) for k in range(n)]
+    one, two, three = rows(1, 24, 170.0), rows(2, 24, 60.0), rows(3, 6, 45.0)
+    three[4] = (*three[4][:3], None, *three[4][4:])
+    mixed = one[:]
+    rng.shuffle(mixed)
+    batches = [[r for p in (mixed, two, three) for r in p[k::4]] for k in range(4)]
+    batches[2] += mixed[0::4] + two[:3]          # repeats within the watermark
+    batches.append(two[:4] + two[-2:] + one[:2])  # and after the entries have ended
+    got = _run(spark, batches, schema, "str4_hard")
+    want = generate_slices(spark.createDataFrame(one + two, schema), 30, 0.0).select(
+        "entry_id", "slice_idx", "seek", F.to_json("segments").alias("j")).collect()
+    assert sorted(r for r in got if r["entry_id"] < 3) == sorted(want) and len(want) > 4
+    assert len({(r["entry_id"], r["slice_idx"]) for r in got}) == len(got)
