@@ -1,10 +1,11 @@
 """Weight-set operators: weighted element-wise averaging (AGG9), key-set check (JOIN3)
 and renamed overlay (JOIN4).
 
-A weight set is the long table ``(checkpoint, key, values ARRAY<FLOAT>)``. Averaging
-explodes the vectors to ``(key, pos, value)`` so one very large tensor is spread over
-many tasks by the ``(key, pos)`` hash, sums in DOUBLE with map-side partial sums, and
-re-assembles each vector in position order.
+A weight set is the long table ``(checkpoint, key, values ARRAY<FLOAT>)``. Averaging cuts the
+vectors into blocks of ``BLOCK`` values: a row is shuffled per block and checkpoint, not per
+value, and one very large tensor is spread over many tasks by the ``(key, block)`` hash. The
+blocks of the checkpoints are folded in the order of the checkpoints, in DOUBLE, so the result
+is the same to the last bit however the input is partitioned.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
+#: Values of a block.
+BLOCK = 4096
 
 
 def validate_weights(n_checkpoints: int, weights: list[float] | None) -> list[float]:
@@ -46,8 +49,9 @@ def assert_same_keys(ws: DataFrame) -> None:
 
 
 def average(ws: DataFrame, checkpoints: list, weights: list[float] | None = None, check: bool = True,
-            as_arrays: bool = False) -> DataFrame:
-    """AGG9: ``sum_c w_c * values_c`` per key, accumulated in DOUBLE, result FLOAT.
+            as_arrays: bool = False, block: int = BLOCK) -> DataFrame:
+    """AGG9: ``sum_c w_c * values_c`` per key, accumulated in DOUBLE in the order of
+    ``checkpoints``, result FLOAT.
 
     Returns the long form ``(key, pos, value)``; ``as_arrays`` re-assembles one array per
     key (a whole tensor then sits in one row, so keep that for tensors of bounded size).
@@ -55,15 +59,22 @@ def average(ws: DataFrame, checkpoints: list, weights: list[float] | None = None
     w = validate_weights(len(checkpoints), weights)
     if check:
         assert_same_keys(ws.filter(F.col("checkpoint").isin(checkpoints)))
-    wmap = F.create_map(*[x for c, wt in zip(checkpoints, w) for x in (F.lit(c), F.lit(float(wt)))])
-    long = (ws.filter(F.col("checkpoint").isin(checkpoints))
-              .select("key", F.posexplode("values").alias("pos", "v"), wmap[F.col("checkpoint")].alias("w")))
-    summed = long.groupBy("key", "pos").agg(F.sum(F.col("v").cast("double") * F.col("w")).alias("s"))
+    order = F.create_map(*[x for i, c in enumerate(checkpoints) for x in (F.lit(c), F.lit(i))])
+    wmap = F.create_map(*[x for i, wt in enumerate(w) for x in (F.lit(i), F.lit(float(wt)))])
+    cuts = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size("values") / block).cast("int") - 1, F.lit(0))),
+                       lambda b: F.slice("values", b * block + 1, F.lit(block)))
+    parts = (ws.filter(F.col("checkpoint").isin(checkpoints))
+               .select("key", order[F.col("checkpoint")].alias("c"), F.posexplode(cuts).alias("block", "v"))
+               .groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("_p")))
+    # a missing end of a shorter vector counts as 0
+    folded = F.aggregate("_p", F.array().cast("array<double>"), lambda acc, p: F.zip_with(
+        acc, p["v"], lambda a, v: F.coalesce(a, F.lit(0.0)) + F.coalesce(v.cast("double"), F.lit(0.0)) * wmap[p["c"]]))
+    summed = parts.select("key", "block", F.transform(folded, lambda x: x.cast("float")).alias("v"))
     if not as_arrays:
-        return summed.select("key", "pos", F.col("s").cast("float").alias("value"))
-    return (summed.groupBy("key")
-                  .agg(F.array_sort(F.collect_list(F.struct("pos", F.col("s").cast("float").alias("v")))).alias("_a"))
-                  .select("key", F.transform("_a", lambda x: x["v"]).alias("values")))
+        return summed.select("key", "block", F.posexplode("v").alias("at", "value")).select(
+            "key", (F.col("block") * block + F.col("at")).alias("pos"), "value")
+    return (summed.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("block", "v"))).alias("_a"))
+                  .select("key", F.flatten(F.col("_a.v")).alias("values")))
 
 
 def overlay(target: DataFrame, source: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -63,4 +63,4 @@ def sql_degrade(words_expr: str) -> str:
 
 # importing the query modules fills the registry
 from parlance.plans import (  # noqa: E402,F401
-    queries_build, queries_eval, queries_labels, queries_sampling, queries_stream, queries_vectors)
+    queries_build, queries_eval, queries_labels, queries_rows, queries_sampling, queries_stream, queries_vectors)

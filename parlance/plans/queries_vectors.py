@@ -14,24 +14,24 @@ from parlance.sources.tables import table
 N_CKPT = 10
 
 
-def weight_sets(spark, sf_dir, common_only: bool = True):
-    """checkpoint = label, key = 1-based row number by vec_id inside the label, values
-    = embedding; with ``common_only`` keys above the smallest checkpoint size are cut."""
+def weight_sets(spark, sf_dir):
+    """checkpoint = vec_id % 10, key = vec_id div 10 + 1, values = embedding: every vector is in
+    one checkpoint, and no position has to be numbered."""
+    return table(spark, sf_dir, "embeddings").select(
+        (F.col("vec_id") % N_CKPT).cast("int").alias("checkpoint"), (F.expr(f"vec_id div {N_CKPT}") + 1).alias("key"),
+        F.col("embedding").alias("values"))
+
+
+def weight_sets_by_label(spark, sf_dir):
+    """Checkpoints of unequal size: checkpoint = label, key = 1-based row number by vec_id inside the
+    label."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
     ws = with_position(e, ["vec_id"], partition_cols=["label"], name="key")
-    ws = ws.select(F.col("label").alias("checkpoint"), (F.col("key") + 1).alias("key"),
-                   F.col("embedding").alias("values"))
-    if common_only:
-        m = ws.groupBy("checkpoint").count().agg(F.min("count")).first()[0]  # one scalar
-        ws = ws.filter(F.col("key") <= m)
-    return ws
+    return ws.select(F.col("label").alias("checkpoint"), (F.col("key") + 1).alias("key"), F.col("embedding").alias("values"))
 
 
-SQL_WS = """
-ws0 AS (SELECT label AS checkpoint, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS key, embedding
-        FROM embeddings),
-mn AS (SELECT min(c) AS m FROM (SELECT count(*) AS c FROM ws0 GROUP BY checkpoint)),
-ws AS (SELECT * FROM ws0 WHERE key <= (SELECT m FROM mn))"""
+SQL_WS = f"""
+ws AS (SELECT vec_id % {N_CKPT} AS checkpoint, vec_id // {N_CKPT} + 1 AS key, embedding FROM embeddings)"""
 
 
 @register("checkpoint_key_coverage", """
@@ -42,7 +42,7 @@ FROM ws0 GROUP BY checkpoint
 """)
 def checkpoint_key_coverage(spark, sf_dir):
     """JOIN3 over all rows (checkpoints differ in size, so some keys are missing)."""
-    return VC.key_coverage(weight_sets(spark, sf_dir, common_only=False))
+    return VC.key_coverage(weight_sets_by_label(spark, sf_dir))
 
 
 def _avg_sql(weight_expr: str) -> str:
@@ -74,27 +74,23 @@ def checkpoint_average_weighted(spark, sf_dir):
 
 
 @register("checkpoint_overlay", f"""
-WITH {SQL_WS},
-tgt AS (SELECT key, embedding FROM ws WHERE checkpoint = 0),
-src AS (SELECT key, embedding FROM ws WHERE checkpoint = 1),
-mp AS (SELECT key AS target_key, key + 1 AS source_key FROM tgt WHERE key % 2 = 0 AND key + 1 <= (SELECT m FROM mn)),
-ov AS (SELECT t.key, coalesce(s.embedding, t.embedding) AS vals, s.embedding IS NOT NULL AS overwritten
-       FROM tgt t LEFT JOIN mp ON mp.target_key = t.key LEFT JOIN src s ON s.key = mp.source_key)
-SELECT CAST(key AS BIGINT) AS key, overwritten,
-       round(list_sum(list_transform(vals, lambda v: CAST(v AS DOUBLE))), 6) AS total
-FROM ov
+WITH {SQL_WS}
+SELECT CAST(t.checkpoint AS BIGINT) AS checkpoint, CAST(t.key AS BIGINT) AS key, s.embedding IS NOT NULL AS overwritten,
+       round(list_sum(list_transform(coalesce(s.embedding, t.embedding), lambda v: CAST(v AS DOUBLE))), 6) AS total
+FROM ws t LEFT JOIN ws s ON t.key % 2 = 0 AND s.key = t.key + 1 AND s.checkpoint = (t.checkpoint + 1) % {N_CKPT}
 """)
 def checkpoint_overlay(spark, sf_dir):
-    """JOIN4: target checkpoint 0 takes checkpoint 1's vector at key + 1 for even keys."""
-    ws = weight_sets(spark, sf_dir).cache()
-    tgt = ws.filter("checkpoint = 0").select("key", "values")
-    src = ws.filter("checkpoint = 1").select("key", "values")
-    m = ws.agg(F.max("key")).first()[0]
-    mapping = (tgt.filter((F.col("key") % 2 == 0) & (F.col("key") + 1 <= m))
-                  .select(F.col("key").alias("target_key"), (F.col("key") + 1).alias("source_key")))
-    out = VC.overlay(tgt, src, mapping)
+    """JOIN4: each checkpoint takes the next one's vector at key + 1 for its even keys, where that
+    one has it."""
+    ws = weight_sets(spark, sf_dir)
+    keyed = ws.select(F.struct("checkpoint", "key").alias("key"), "values")
+    nxt = F.struct(((F.col("checkpoint") + 1) % N_CKPT).alias("checkpoint"), (F.col("key") + 1).alias("key"))
+    wanted = ws.filter(F.col("key") % 2 == 0).select(F.struct("checkpoint", "key").alias("target_key"), nxt.alias("source_key"))
+    mapping = wanted.join(keyed.select(F.col("key").alias("source_key")), "source_key", "left_semi")
+    out = VC.overlay(keyed, keyed, mapping)
     total = F.aggregate(F.transform("values", lambda v: v.cast("double")), F.lit(0.0), lambda a, v: a + v)
-    return out.select(F.col("key").cast("bigint").alias("key"), "overwritten", F.round(total, 6).alias("total"))
+    return out.select(F.col("key.checkpoint").cast("bigint").alias("checkpoint"), F.col("key.key").cast("bigint").alias("key"),
+                      "overwritten", F.round(total, 6).alias("total"))
 
 
 RATE = 1000

@@ -87,3 +87,22 @@ def test_interleave_rules(spark):
     assert SM.interleave(spark, {"de": frames["de"]}, "doc_id") is frames["de"]
     with pytest.raises(ValueError):
         SM.interleave(spark, frames, "doc_id", probabilities=[1.0])
+
+
+def test_average_is_repeatable_to_the_bit(spark):
+    """Any partitioning and any block size gives the same bits; vectors of unequal length too."""
+    import random
+
+    from parlance.operators import vectors as VC
+    rng = random.Random(2)
+    rows = [(c, k, [rng.uniform(-1, 1) * 10 ** rng.randint(-6, 6) for _ in range(40 + k)]) for c in range(5) for k in range(6)]
+    w = [0.1, 0.2, 0.3, 0.25, 0.15]
+    want = None
+    for parts, block in ((1, 4096), (7, 16), (3, 1)):
+        rng.shuffle(rows)
+        ws = spark.createDataFrame(rows, "checkpoint int, key int, values array<float>").repartition(parts)
+        long = {(r["key"], r["pos"]): r["value"] for r in VC.average(ws, list(range(5)), w, block=block).collect()}
+        arrays = {r["key"]: list(r["values"]) for r in VC.average(ws, list(range(5)), w, as_arrays=True, block=block).collect()}
+        assert {(k, p): v for k, vs in arrays.items() for p, v in enumerate(vs)} == long
+        want = want or long
+        assert long == want and len(long) == sum(40 + k for k in range(6))
