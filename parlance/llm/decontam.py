@@ -141,7 +141,7 @@ class Automaton:
 
 def _shards(bench: DataFrame, item_col: str, text_col: str, shard_words: int) -> Iterator[list[tuple]]:
     """Items by shard: each is read on its own, so the driver holds one bounded shard at a time."""
-    items = (bench.select(F.col(item_col).alias("item"), F.col(text_col).alias("t"))
+    items = (bench.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("t"))
              .where("item IS NOT NULL AND t IS NOT NULL").distinct())
     # a word takes two bytes at least with its separator, so this bounds the words from above
     size = items.agg(F.sum((F.octet_length("t") + 1) / 2)).first()[0] or 0
@@ -151,9 +151,9 @@ def _shards(bench: DataFrame, item_col: str, text_col: str, shard_words: int) ->
         yield [(r["item"], words(r["t"].encode("utf-8", "surrogatepass"))) for r in part.collect()]
 
 
-RESULT = "struct<n_words:bigint,spans:array<struct<a:int,b:int>>,items:array<bigint>>"
+RESULT = "struct<n_words:bigint,spans:array<struct<a:int,b:int>>,items:array<string>>"
 _SPANS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-_ARROW = pa.struct([("n_words", pa.int64()), ("spans", _SPANS), ("items", pa.list_(pa.int64()))])
+_ARROW = pa.struct([("n_words", pa.int64()), ("spans", _SPANS), ("items", pa.list_(pa.string()))])
 
 
 def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -226,7 +226,7 @@ def contaminated(col: str = "hits", share: int = 20):
 def report(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The contract's columns for every document."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    names = F.array_join(F.array_sort(F.col("hits.items").cast("array<string>")), ",")
+    names = F.array_join(F.array_sort("hits.items"), ",")
     return annotate(src, bench, text_col="t", **kw).select(
         F.col("id").alias(id_col), F.col("hits.n_words").alias("n_words"), _n_hit("hits").alias("n_hit"),
         F.size("hits.items").cast("long").alias("n_items"),

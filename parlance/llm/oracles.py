@@ -78,4 +78,75 @@ FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.doc_id = d.doc_id
 GROUP BY d.doc_id, n
 """
 
-ORACLES: dict[str, str] = {"op2_chat_format": OP2, "op4_decontamination": OP4, "op8_jaccard_join": OP8}
+# crc32 of a text of ASCII characters, bit by bit
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len({t}) + 1), lambda i: ascii({t}[i])::BIGINT)),
+  lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)"""
+
+# every prefix of every rebuilt conversation, grouped by its turns themselves
+OP12 = f"""
+WITH own AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST,
+                       md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+headed AS (SELECT *, {_CRC32.format(t='(conv_id::VARCHAR)')} % 6 AS h FROM own),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.p[1:o.h], []), o.p[o.h + 1:]) AS p
+  FROM headed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+prefixes AS (
+  SELECT conv_id, len(p) AS n, d, p[1:d] AS k, CASE WHEN d > 0 THEN length(p[d].t) ELSE 0 END AS chars
+  FROM (SELECT conv_id, p, unnest(range(0, len(p) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved,
+         coalesce(string_agg(CASE WHEN n = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ends
+  FROM prefixes GROUP BY k, d),
+children AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (
+  SELECT k[1:a] AS k, sum(leaf) AS n_leaves, sum(saved) AS saved
+  FROM (SELECT nodes.k, saved, CASE WHEN c.n IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, d + 1)) AS a
+        FROM nodes LEFT JOIN children c ON c.k = nodes.k)
+  GROUP BY 1)
+SELECT nodes.conv_id, d AS depth, up.conv_id AS parent_conv_id, n_convs, coalesce(children.n, 0) AS n_children,
+       n_leaves::BIGINT AS n_leaves, below.saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM nodes LEFT JOIN children ON children.k = nodes.k JOIN below ON below.k = nodes.k
+LEFT JOIN (SELECT k AS uk, d AS ud, conv_id FROM nodes) up ON d > 0 AND uk = nodes.k[1:d - 1]
+"""
+
+# periods whose multiples 0, q, 2q, ... hold one word three times in a row are looked at word by word:
+# a run of four periods has three such places
+OP13 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         coalesce(doc_id::VARCHAR, '') AS name FROM documents),
+g AS (SELECT r, doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g
+      FROM (SELECT *, {_CRC32.format(t='name')} AS h FROM d)),
+a AS (SELECT *, CASE WHEN planted THEN g % n ELSE 0 END AS a FROM g),
+p AS (SELECT *, CASE WHEN planted THEN 1 + (n - a) // (3 + g % 8) ELSE 1 END AS p FROM a),
+word AS (
+  SELECT r, i, x[CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS x
+  FROM (SELECT r, planted, a, p, w AS x, unnest(range(0, n)) AS i FROM p)),
+place AS (SELECT r, q, unnest(range(0, n - 2 * q, q)) AS i FROM (SELECT r, n, unnest(range(1, n // 4 + 1)) AS q FROM p)),
+seen AS (
+  SELECT DISTINCT place.r, q FROM place JOIN word u ON u.r = place.r AND u.i = place.i
+  JOIN word v ON v.r = place.r AND v.i = place.i + q AND v.x = u.x JOIN word t ON t.r = place.r AND t.i = place.i + 2 * q AND t.x = u.x),
+same AS (
+  SELECT seen.r, q, u.i, u.i - row_number() OVER (PARTITION BY seen.r, q ORDER BY u.i) AS isle
+  FROM seen JOIN word u ON u.r = seen.r JOIN word v ON v.r = seen.r AND v.i = u.i + q AND v.x = u.x),
+run AS (
+  SELECT r, start, length, min(q) AS period
+  FROM (SELECT r, q, min(i) AS start, count(*) + q AS length FROM same GROUP BY r, q, isle)
+  WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length),
+runs AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS told,
+         list({{'l': -length, 's': start, 'p': period}} ORDER BY -length, start, period)[1] AS top
+  FROM run GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT word.r, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone ON gone.r = word.r AND gone.i = word.i GROUP BY word.r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.s::BIGINT AS start, (-top.l)::BIGINT AS length, top.p::BIGINT AS period,
+       (-1000 * top.l // top.p)::BIGINT AS exponent_milli, sha256(coalesce(told, '')) AS runs_sha256,
+       sha256(coalesce(t, '')) AS collapsed_sha256
+FROM d LEFT JOIN runs USING (r) LEFT JOIN kept USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op2_chat_format": OP2, "op4_decontamination": OP4, "op8_jaccard_join": OP8,
+                           "op12_prefix_trie": OP12, "op13_periodic_runs": OP13}

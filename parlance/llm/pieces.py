@@ -57,7 +57,7 @@ def class_table(spec_json: str | None = None) -> np.ndarray:
     return out
 
 
-def _code_points(buf: np.ndarray, lead: np.ndarray) -> np.ndarray:
+def code_points(buf: np.ndarray, lead: np.ndarray) -> np.ndarray:
     """Code points that begin at the positions ``lead`` of valid UTF-8."""
     b = buf[lead]
     cp = b.astype(np.int32)
@@ -76,7 +76,7 @@ def piece_starts(buf: np.ndarray, offs: np.ndarray, classes: np.ndarray) -> np.n
     if not len(buf):
         return np.zeros(0, np.int64)
     lead = np.flatnonzero((buf & 0xC0) != 0x80)
-    cls = classes[_code_points(buf, lead)]
+    cls = classes[code_points(buf, lead)]
     n = len(lead)
     begins = np.zeros(n, bool)  # a text begins here
     begins[np.searchsorted(lead, offs[:-1][np.diff(offs) > 0])] = True

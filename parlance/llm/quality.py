@@ -2,13 +2,13 @@
 
 Base figures of a text (words `[^\\x20\\x09-\\x0D]+`): word_chars, n_symbols, n_dup_lines,
 n_repeat_words, all counted in Arrow batches with 64-bit hashes of words and lines. The
-verdict is a logistic regression on hashed word 1/2-grams and byte 3/4-grams (shares within
-the text), trained on a bounded sample of labelled rows, calibrated by Platt scaling on rows
+verdict is a logistic regression on hashed word 1/2-grams and character (code point) 3/4-grams
+(shares within the text), trained on a bounded sample of labelled rows, calibrated by Platt scaling on rows
 that the fit has not seen, and compared with a fixed threshold.
 
 Edge cases: null and empty texts have no words and fail the base rules; one-class or missing
 labels leave the base rules as the only verdict (probability 1); repeated rows give repeated
-rows; null labels are not used; only the id and text columns are read.
+rows, and an id that has several texts teaches with one of them; null labels are not used; only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 
 from parlance.llm.common import NEWLINE, Words, chunks, fold_of, map_arrow, text_buffer
 from parlance.llm.linear import Rows, fit_logistic, fit_platt, sigmoid
+from parlance.llm.pieces import code_points
 
 DIMS = 1 << 17
 #: Labelled rows used for the fit and the calibration (a quarter), at most.
 SAMPLE_ROWS = 2000
-#: Bytes of one sampled text's features are bounded by its length; longer texts are not sampled.
-SAMPLE_TEXT_BYTES = 60_000
+#: Features that one sampled text teaches with, at most: those with the largest shares.
+SAMPLE_FEATURES = 1 << 14
 MIN_PROBABILITY = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -90,14 +91,15 @@ def _features(buf: np.ndarray, offs: np.ndarray, words: Words) -> Iterator[tuple
     yield bucket(words.hash), words.first
     at = words.gram_starts(2)
     yield bucket(words.range_hash(at, at + 2) if len(at) else np.zeros(0, np.uint64)), np.searchsorted(at, words.first)
-    wide = buf.astype(np.uint64)
+    lead = np.flatnonzero(_LEAD[buf])
+    wide, first = code_points(buf, lead).astype(np.uint64), np.searchsorted(lead, offs)
     for n in (3, 4):
-        m = max(0, len(buf) - n + 1)
+        m = max(0, len(wide) - n + 1)
         h = np.full(m, n, np.uint64)
         for i in range(n):
-            h = (h << np.uint64(8)) | wide[i:i + m]
+            h = h * np.uint64(0x100000001B3) + wide[i:i + m]
         h = (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)
-        yield bucket(h), offs  # positions that reach into the next text are cut off by _bounds
+        yield bucket(h), first  # positions that reach into the next text are cut off by _bounds
 
 
 _OVERLAP = (0, 0, 2, 3)  # positions at a text's end that reach into the next text
@@ -126,6 +128,13 @@ def sparse(buf: np.ndarray, offs: np.ndarray, words: Words) -> list[tuple[np.nda
 SCALE = 10.0
 
 
+def _largest(i: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if len(i) <= SAMPLE_FEATURES:
+        return i, v
+    keep = np.sort(np.lexsort((i, -v))[:SAMPLE_FEATURES])
+    return i[keep], v[keep]
+
+
 def dense_scores(buf: np.ndarray, offs: np.ndarray, words: Words, w: np.ndarray) -> np.ndarray:
     out = np.full(len(offs) - 1, w[0])
     for kind, (feat, first) in enumerate(_features(buf, offs, words)):
@@ -145,15 +154,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
            .orderBy(F.xxhash64("id"), "id").limit(sample_rows))
     # the sample is bounded by sample_rows, whatever the tables' sizes
     src = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-           .where(F.octet_length("t") <= SAMPLE_TEXT_BYTES)
-           .join(F.broadcast(ids), "id").select("t", "y", (fold_of("id", 4) == 0).alias("c")))
+           .where("t IS NOT NULL").join(F.broadcast(ids), "id")
+           .groupBy("id", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t"))  # one row of each id
+           .select("t", "y", (fold_of("id", 4) == 0).alias("c")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw, offs = text_buffer(b.column(0))
             for lo, hi in chunks(offs):
                 buf, own = raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
-                rows = sparse(buf, own, Words(buf, own))
+                rows = [_largest(i, v) for i, v in sparse(buf, own, Words(buf, own))]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(1).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo),
                      pa.array([i.astype(np.int32).tobytes() for i, _ in rows], pa.binary()),

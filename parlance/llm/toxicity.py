@@ -8,8 +8,8 @@ non-negative risk estimator.
 Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z folded.
 
 Edge cases: null and empty texts score by the bias alone; without positives or unlabelled
-texts every score is 0; a row may be labelled twice (toxic if any label says so); null labels
-and ids are not learned from; repeated rows give repeated rows; other columns pass through
+texts every score is 0; a row may be labelled twice (toxic if any label says so); an id that has
+several texts teaches with one of them; null labels and ids are not learned from; repeated rows give repeated rows; other columns pass through
 ``reject`` untouched.
 """
 
@@ -26,9 +26,10 @@ from parlance.llm.common import Words, chunks, fold_of, map_arrow, mix, text_buf
 from parlance.llm.linear import Rows, fit_nnpu, sigmoid
 
 DIMS = 1 << 18
-#: Rows of each sample, at most; and the largest sampled text.
+#: Rows of each sample, at most; and the features that one of its texts teaches with, at most: those
+#: of the smallest buckets.
 POSITIVES, UNLABELLED = 3000, 6000
-SAMPLE_TEXT_BYTES = 60_000
+SAMPLE_FEATURES = 1 << 13
 THRESHOLD = 0.5
 #: A feature counts if the samples' shares differ by so many standard errors, in so many positives.
 MIN_Z, MIN_POSITIVES = 4.0, 3
@@ -61,10 +62,11 @@ def _sample(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> list
             raw, offs = text_buffer(b.column(0))
             for lo, hi in chunks(offs):
                 got = features(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in got], pa.binary())], ["i"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_FEATURES].tobytes() for x in got], pa.binary())], ["i"])
 
     src = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-           .where(F.octet_length("t") <= SAMPLE_TEXT_BYTES).join(F.broadcast(ids), "id").select("t"))
+           .where("t IS NOT NULL").join(F.broadcast(ids), "id")
+           .groupBy("id").agg(F.min_by("t", F.xxhash64("t")).alias("t")).select("t"))  # one row of each id
     return [np.frombuffer(r, np.int32) for r in sorted(bytes(r["i"]) for r in map_arrow(src, run, "i binary").collect())]
 
 

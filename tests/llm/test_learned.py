@@ -1,13 +1,15 @@
 """Held-out figures of the learned operators, the SQL oracles and the pipeline."""
 
+import hashlib
 import zlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parlance.llm import decontam, jaccard
-from parlance.llm.common import table
+from parlance.llm import decontam, jaccard, quality, toxicity
+from parlance.llm.common import fold_of, table
 from parlance.llm.oracles import ORACLES
 from parlance.llm.queries import QUERIES
 
@@ -73,3 +75,32 @@ def test_pipeline_stages_take_effect(spark):
     assert linked.count() == len(final)
     flags = rows(decontam.report(docs, bench))
     assert not [d for d in final if flags[d]["contaminated"]]
+
+
+def test_quality_on_held_out_rows(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    model = quality.train(docs, labels.where(fold_of("doc_id", 5) != 0))
+    held = rows(labels.where(fold_of("doc_id", 5) == 0))
+    got = rows(quality.score(docs.join(labels.where(fold_of("doc_id", 5) == 0), "doc_id", "left_semi"), model))
+    right = [got[d]["kept"] == bool(r["quality"]) for d, r in held.items() if d in got and not got[d]["base_failed"]]
+    assert len(right) > 100 and sum(right) >= 0.93 * len(right)
+
+
+def test_samples_take_one_row_of_each_id(spark):
+    docs = table(spark, SMALL, "documents").select("doc_id", "text")
+    labels = table(spark, SMALL, "labels")
+    ids = [r["doc_id"] for r in labels.orderBy("doc_id").limit(2).collect()]
+    many = docs.unionByName(docs.where(F.col("doc_id").isin(ids)).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("k"))
+    same = quality.train(docs, labels), quality.train(many, labels)
+    assert (same[0] is None and same[1] is None) or (same[0]["w"] == same[1]["w"]).all()
+    got = toxicity.train(many, labels), toxicity.train(docs, labels)
+    assert (got[0] is None and got[1] is None) or (got[0] == got[1]).all()
+
+
+def test_items_with_text_ids(spark):
+    item = " ".join(f"w{i}" for i in range(13))
+    bench = spark.createDataFrame([("b", item), ("a", item), ("10", "w1 w2")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "x " + item + " y"), (2, "z")], "doc_id long, text string")
+    got = rows(decontam.report(docs, bench))
+    assert got[1]["n_items"] == 3 and got[1]["n_hit"] == 13 and got[1]["contaminated"] and got[2]["n_items"] == 0
+    assert got[1]["items_sha256"] == hashlib.sha256(b"10,a,b").hexdigest()
