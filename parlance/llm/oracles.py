@@ -115,18 +115,20 @@ LEFT JOIN (SELECT k AS uk, d AS ud, conv_id FROM nodes) up ON d > 0 AND uk = nod
 # periods whose multiples 0, q, 2q, ... hold one word three times in a row are looked at word by word:
 # a run of four periods has three such places
 OP13 = f"""
-WITH d AS (
+WITH d AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
          coalesce(doc_id::VARCHAR, '') AS name FROM documents),
-g AS (SELECT r, doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g
-      FROM (SELECT *, {_CRC32.format(t='name')} AS h FROM d)),
+g AS (SELECT r, n, h % 10 = 0 AND n > 0 AS planted, h // 10 AS g
+      FROM (SELECT r, len(w) AS n, {_CRC32.format(t='name')} AS h FROM d)),
 a AS (SELECT *, CASE WHEN planted THEN g % n ELSE 0 END AS a FROM g),
-p AS (SELECT *, CASE WHEN planted THEN 1 + (n - a) // (3 + g % 8) ELSE 1 END AS p FROM a),
-word AS (
-  SELECT r, i, x[CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS x
-  FROM (SELECT r, planted, a, p, w AS x, unnest(range(0, n)) AS i FROM p)),
+p AS MATERIALIZED (SELECT *, CASE WHEN planted THEN 1 + (n - a) // (3 + g % 8) ELSE 1 END AS p FROM a),
+own AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM d),
+word AS MATERIALIZED (
+  SELECT t.r, t.i, x
+  FROM (SELECT r, planted, a, p, unnest(range(0, n)) AS i FROM p) t
+  JOIN own ON own.r = t.r AND own.i = CASE WHEN planted AND t.i >= a THEN a + (t.i - a) % p ELSE t.i END),
 place AS (SELECT r, q, unnest(range(0, n - 2 * q, q)) AS i FROM (SELECT r, n, unnest(range(1, n // 4 + 1)) AS q FROM p)),
-seen AS (
+seen AS MATERIALIZED (
   SELECT DISTINCT place.r, q FROM place JOIN word u ON u.r = place.r AND u.i = place.i
   JOIN word v ON v.r = place.r AND v.i = place.i + q AND v.x = u.x JOIN word t ON t.r = place.r AND t.i = place.i + 2 * q AND t.x = u.x),
 same AS (
