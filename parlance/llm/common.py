@@ -7,6 +7,8 @@ loss of an executor gives the same rows.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 from functools import cached_property
@@ -50,8 +52,25 @@ def release(df: DataFrame) -> None:
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
+    """``mapInArrow``; when a task ends, its worker, which Spark keeps for later tasks, gives the
+    memory that it has freed back to the machine."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 # ---- Arrow text -------------------------------------------------------------------------
