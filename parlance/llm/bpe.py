@@ -160,17 +160,10 @@ class Codec:
         return b"".join(map(self.vocab.__getitem__, ids))
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 @contextmanager
 def _codec(shared) -> Iterator[Codec]:
-    """The worker's codec; the pieces that a task has learnt go when it ends."""
-    vocab, perfect, classes, tag = shared.value
-    if tag not in _CODECS:
-        _CODECS.clear()
-        _CODECS[tag] = Codec(vocab, perfect, classes)
-    codec = _CODECS[tag]
+    """A codec for one task: nothing of it, nor of the pieces it has learnt, stays in the worker."""
+    codec = Codec(*shared.value)
     try:
         yield codec
     finally:
@@ -178,9 +171,9 @@ def _codec(shared) -> Iterator[Codec]:
 
 
 @lru_cache(maxsize=2)
-def _tables(ranks: bytes) -> tuple[list[bytes], PerfectHash, np.ndarray, str]:
+def _tables(ranks: bytes) -> tuple[list[bytes], PerfectHash, np.ndarray]:
     vocab = read_ranks(ranks)
-    return vocab, PerfectHash(vocab), class_table(), xxhash.xxh3_128_hexdigest(ranks)
+    return vocab, PerfectHash(vocab), class_table()
 
 
 def _ship(df: DataFrame, ranks: bytes):
