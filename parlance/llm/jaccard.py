@@ -313,11 +313,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     weight = spark.sparkContext.broadcast(_heavy(src))
     # prefix shingles with two classes at least; one of exactly two classes is that pair, in one row
     heads = _prefixes(src, weight).repartition("g").distinct()
-    own = F.struct("n", "k")
-    groups = heads.groupBy("g").agg(F.count("*").alias("m"), F.min(own).alias("lo"), F.max(own).alias("hi")).where("m > 1")
-    heads = stash(heads.join(groups, "g").where((F.col("m") > 2) | (own == F.col("lo"))).select(
-        "g", "m", "n", "k", F.when(F.col("m") == 2, F.col("hi.n")).alias("on"), F.when(F.col("m") == 2, F.col("hi.k")).alias("ok")),
-        "prefixes")
+    groups = heads.groupBy("g").agg(F.count("*").alias("m"), F.bit_xor("k").alias("both_k"), F.sum("n").alias("both_n")).where("m > 1")
+    heads = heads.join(groups, "g").withColumns({  # the other class of two
+        "on": F.when(F.col("m") == 2, (F.col("both_n") - F.col("n")).cast("int")),
+        "ok": F.when(F.col("m") == 2, F.col("both_k").bitwiseXOR(F.col("k")))})
+    heads = stash(heads.where("m > 2 OR n < on OR (n = on AND k < ok)").select("g", "m", "n", "k", "on", "ok"), "prefixes")
     shown = heads.where("m > 2").select("g", "n", "k", "m")
     ties = shown.groupBy("n", "k").agg(F.sum(F.col("m") - 1).alias("ties"))
     ranked = shown.join(ties, ["n", "k"])
