@@ -53,7 +53,9 @@ MIN_WORDS = 50
 MIN_LINES = 1
 MIN_LINE_WORDS = 2
 #: Runs that a task holds to find the first of each among its own before they are shuffled.
-HOLD_RUNS = 250_000
+HOLD_RUNS = 100_000
+#: Rows of a batch that are filtered, and so copied, at a time.
+SLICE_ROWS = 1000
 
 
 @dataclass(frozen=True)
@@ -94,6 +96,12 @@ class _Windows:
         self.first = np.searchsorted(at, words.first)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo in range(0, len(b), SLICE_ROWS):
+            yield b.slice(lo, SLICE_ROWS)
+
+
 def _skip(batch: pa.RecordBatch, x: int, copies: np.ndarray, kept: np.ndarray) -> pa.RecordBatch:
     """The rows that are not copies: in the first bitmap, and not among its false positives."""
     v = batch.column(x).to_numpy(zero_copy_only=False)
@@ -169,7 +177,7 @@ class _Units:
 def _fingerprints(texts: DataFrame, masks, least: Least) -> DataFrame:
     """(f): the selected hashes of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             b = _skip(b, 1, *masks.value)
             raw, offs = text_buffer(b.column(0))
             for lo, hi in chunks(offs):
@@ -220,7 +228,7 @@ def _runs(texts: DataFrame, masks, repeated, least: Least, id_type: str) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = repeated.value
         held, n_held = [], 0
-        for b in batches:
+        for b in _slices(batches):
             b = _skip(b, 3, *masks.value)
             raw, offs = text_buffer(b.column(1))
             for lo, hi in chunks(offs):
@@ -381,12 +389,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars
         return has_bits(bits.value, b.column(k).to_numpy(zero_copy_only=False))
 
     def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             b = b.filter(pa.array(marked(b)))
             yield pa.RecordBatch.from_arrays(b.columns[:k], names=[f"c{i}" for i in range(k)])
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             yield from result(b.filter(pa.array(~marked(b))), False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
