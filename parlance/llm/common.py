@@ -66,6 +66,8 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 def _give_back() -> None:
+    for p in (_BYTE_POW, _WORD_POW):
+        p.forget()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
@@ -129,17 +131,26 @@ class _Powers:
 
     def __init__(self, base: int):
         self.base, self.inv = base, pow(base, -1, 1 << 64)
+        self.forget()
+
+    def forget(self) -> None:
+        """Some 40 MB in a worker once chunks of ``CHUNK_BYTES`` were hashed, made anew in milliseconds."""
         self.up = self.down = np.ones(1, np.uint64)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
+            kept = n <= CHUNK_BYTES + 1  # those of one longer text are not kept beyond it
+            size = min(1 << (n - 1).bit_length(), CHUNK_BYTES + 1) if kept else n
+
             def grow(have: np.ndarray, base: int) -> np.ndarray:
-                while len(have) < n:
-                    have = np.concatenate([have, have * np.uint64(pow(base, len(have), 1 << 64))])
+                while len(have) < size:
+                    more = have[:size - len(have)]
+                    have = np.concatenate([have, more * np.uint64(pow(base, len(have), 1 << 64))])
                 return have
-            if n > CHUNK_BYTES + 1:  # one very long text: not kept for the worker's lifetime
-                return grow(self.up, self.base), grow(self.down, self.inv)
-            self.up, self.down = grow(self.up, self.base), grow(self.down, self.inv)
+            up, down = grow(self.up, self.base), grow(self.down, self.inv)
+            if not kept:
+                return up, down
+            self.up, self.down = up, down
         return self.up, self.down
 
 
