@@ -86,6 +86,57 @@ chain AS (
   FROM ex)"""
 
 
+# WIN1 as a recursion over (seek, next segment): one row a step, segments as a list per entry.
+def _sql_median(scores: str) -> str:
+    n, v = f"len({scores})", f"list_sort({scores})"
+    return (f"(CASE WHEN {n} = 0 THEN 0.0::DOUBLE WHEN {n} % 2 = 1 THEN {v}[{n} // 2 + 1] "
+            f"ELSE ({v}[{n} // 2] + {v}[{n} // 2 + 1]) / 2 END)")
+
+
+SQL_GREEDY = f"""
+ent AS (
+  SELECT entry_id, any_value(audio_duration) AS dur,
+         list({{'s': start, 'e': "end", 't': coalesce(text, ''), 'w': word_scores}} ORDER BY seg_idx) AS g
+  FROM seg GROUP BY entry_id),
+walk AS (
+  SELECT entry_id, 0 AS step, 0::DOUBLE AS nxt, 0::BIGINT AS i, 0::DOUBLE AS seek, 0::BIGINT AS a, 0::BIGINT AS b,
+         false AS opened, false AS emitted
+  FROM ent
+  UNION ALL
+  SELECT entry_id, step + 1,
+    CASE WHEN skip THEN CASE WHEN i + 1 < n THEN g[i + 2].s ELSE dur END
+         WHEN low THEN CASE WHEN again IS NOT NULL THEN g[again + 1].s WHEN j < n THEN g[j + 1].s ELSE dur END
+         WHEN crosses THEN CASE WHEN j = i THEN g[j + 1].s ELSE g[j].e END
+         ELSE nxt + 30 END,
+    CASE WHEN skip THEN CASE WHEN i + 1 < n THEN i + 1 ELSE i END WHEN low THEN coalesce(again, j) ELSE j END,
+    nxt, i, CASE WHEN low THEN i ELSE j END, crosses AND j > i AND NOT low, NOT skip
+  FROM (
+    SELECT *, j < n AND g[j + 1].s < cut AS crosses,
+      j > i AND {_sql_median("flatten(list_transform(g[i + 1:j], lambda x: x.w))")} < 0.5 AS low,
+      list_filter(range(i + 1, j), lambda t: {_sql_median("g[t + 1].w")} >= 0.5)[1] AS again
+    FROM (
+      SELECT *, coalesce(list_filter(range(i, n), lambda t: NOT (g[t + 1].s < cut AND least(g[t + 1].e, dur) <= cut))[1], n) AS j
+      FROM (
+        SELECT w.entry_id, w.step, w.nxt, w.i, e.dur, e.g, len(e.g) AS n, least(w.nxt + 30, e.dur) AS cut,
+          w.i < len(e.g) AND (e.g[w.i + 1].e - e.g[w.i + 1].s > 30 OR e.g[w.i + 1].e = e.g[w.i + 1].s) AS skip
+        FROM walk w JOIN ent e USING (entry_id) WHERE w.nxt < e.dur)))),
+slices AS (
+  SELECT entry_id, row_number() OVER (PARTITION BY entry_id ORDER BY step) - 1 AS slice_idx, seek,
+    list_transform(range(a, b + CAST(opened AS INTEGER)), lambda t:
+      CASE WHEN t < b THEN {{'start': greatest(0, g[t + 1].s - seek), 'end': least(30, least(g[t + 1].e, dur) - seek),
+                            'text': g[t + 1].t, 'word_scores': g[t + 1].w}}
+           ELSE {{'start': greatest(0, g[t + 1].s - seek), 'end': NULL::DOUBLE, 'text': NULL::VARCHAR,
+                 'word_scores': []::DOUBLE[]}} END) AS segments
+  FROM walk JOIN ent USING (entry_id) WHERE emitted)"""
+
+SQL_EXAMPLE_DIGEST = """
+SELECT entry_id, CAST(slice_idx AS BIGINT) AS slice_idx, round(CAST(CAST(seek AS FLOAT) AS DOUBLE), 6) AS seek,
+       md5(transcript) AS transcript_md5, has_prev,
+       md5(CASE WHEN has_prev THEN prev_t ELSE '' END) AS prev_md5,
+       round(CAST(CAST(quality AS FLOAT) AS DOUBLE), 6) AS quality_score
+FROM chain WHERE entry_max > 0 AND nseg > 0
+"""
+
 def _example_digest(df):
     return df.select(
         "entry_id", F.col("slice_idx").cast("bigint").alias("slice_idx"),
@@ -95,14 +146,7 @@ def _example_digest(df):
 
 
 # WIN2 + WIN3 + WIN4 + WIN6 + AGG4-AGG6 + TXT7 + FLT9 + PRJ1 on prepared slices
-@register("examples_fixed_hop", f"""
-WITH {SQL_F1}, {SQL_FIXED_HOP}, {SQL_MERGE}, {SQL_EXAMPLES}
-SELECT entry_id, CAST(slice_idx AS BIGINT) AS slice_idx, round(CAST(CAST(seek AS FLOAT) AS DOUBLE), 6) AS seek,
-       md5(transcript) AS transcript_md5, has_prev,
-       md5(CASE WHEN has_prev THEN prev_t ELSE '' END) AS prev_md5,
-       round(CAST(CAST(quality AS FLOAT) AS DOUBLE), 6) AS quality_score
-FROM chain WHERE entry_max > 0 AND nseg > 0
-""")
+@register("examples_fixed_hop", f"WITH {SQL_F1}, {SQL_FIXED_HOP}, {SQL_MERGE}, {SQL_EXAMPLES} {SQL_EXAMPLE_DIGEST}")
 def examples_fixed_hop(spark, sf_dir):
     return _example_digest(MG.build_examples(FX.fixed_hop_slices(spark, sf_dir)))
 
@@ -149,9 +193,16 @@ def rejected_segments_conversations(spark, sf_dir):
     return RJ.entry_rejects(seg).unionByName(RJ.slice_rejects(slices)).select(*RJ.COLUMNS)
 
 
-# WIN1 greedy slicer over F1 (threshold 0.5); SQL cannot run the state machine, the
-# rules are checked by the golden tests and a pure-Python replay test.
-@register("greedy_slices")
+# WIN1 greedy slicer over F1 (threshold 0.5)
+@register("greedy_slices", f"""
+WITH RECURSIVE {SQL_F1}, {SQL_GREEDY}
+SELECT entry_id, slice_idx, round(seek, 6) AS seek, CAST(len(segments) AS BIGINT) AS n_segments,
+  md5('[' || array_to_string(list_transform(segments, lambda s: '{{"start":' || CAST(s.start AS VARCHAR)
+      || coalesce(',"end":' || CAST(s."end" AS VARCHAR), '') || coalesce(',"text":' || CAST(to_json(s.text) AS VARCHAR), '')
+      || ',"word_scores":[' || array_to_string(list_transform(s.word_scores, lambda x: CAST(x AS VARCHAR)), ',') || ']}}'),
+    ',') || ']') AS segments_md5
+FROM slices
+""")
 def greedy_slices(spark, sf_dir):
     s = generate_slices(FX.segment_rows(spark, sf_dir), slice_length=30, threshold=0.5)
     return s.select("entry_id", F.col("slice_idx").cast("bigint").alias("slice_idx"), F.round("seek", 6).alias("seek"),
@@ -160,7 +211,8 @@ def greedy_slices(spark, sf_dir):
 
 
 # Pipeline 3.1 over F1: slicer -> merge -> transcripts -> previous -> examples
-@register("dataset_examples")
+@register("dataset_examples",
+          f"WITH RECURSIVE {SQL_F1}, {SQL_GREEDY}, {SQL_MERGE}, {SQL_EXAMPLES} {SQL_EXAMPLE_DIGEST}")
 def dataset_examples(spark, sf_dir):
     slices = generate_slices(FX.segment_rows(spark, sf_dir), slice_length=30, threshold=0.5)
     return _example_digest(MG.build_examples(slices))
