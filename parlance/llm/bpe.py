@@ -31,6 +31,8 @@ from parlance.llm.pieces import Memo, class_table, pieces
 
 #: Pieces in each of the memo's two generations, about 50 MB a worker together.
 MEMO_PIECES = 1 << 17
+#: Bytes of text encoded at a time: its pieces are Python strings, some 50 bytes of memory a byte of text.
+ENCODE_BYTES = 1 << 18
 #: Mean keys per bucket of the perfect hash.
 BUCKET_LOAD = 2
 
@@ -191,7 +193,7 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
         with _codec(shared) as codec:
             for b in batches:
                 raw, offs = text_buffer(b.column(1))
-                for lo, hi in chunks(offs):
+                for lo, hi in chunks(offs, ENCODE_BYTES):
                     rows = codec.encode(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
                     ends = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
                     cols = [b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))]
