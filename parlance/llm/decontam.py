@@ -1,8 +1,11 @@
 """Operator 4, benchmark decontamination with a generalised suffix automaton.
 
-The normalised items are split into shards of at most ``SHARD_WORDS`` words; each shard
-becomes one generalised suffix automaton over word ids, built on the driver from that
-bounded shard and broadcast. Every document's words stream through the automaton, which
+The normalised items are split into shards of about ``SHARD_WORDS`` words; a task turns each shard
+into one generalised suffix automaton over word ids and writes it to the shared folder. An item of more
+than ``PIECE_WORDS`` words is dealt out in pieces that overlap by a window less one word, so every window
+lies whole in a piece. One automaton at a time, of bounded size, is broadcast; at most
+``SHARDS_A_PASS`` meet in a task, then the finds so far are written and the next ones take over.
+Every document's words stream through the automaton, which
 tracks the longest match ending at each word. A match of at least ``window`` words marks the
 last ``window`` words as hit; an item shorter than the window counts when it is matched
 whole. A document word that no item has sends the automaton back to its root, so stretches
@@ -17,17 +20,23 @@ empty benchmark nothing is hit; only the id and text columns are read.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import map_arrow
+from parlance.llm.common import map_arrow, release, stash
 
-#: Words of one shard's items; more items make more shards, never a larger automaton.
+#: Words of one shard's items, about; more items make more shards, never a larger automaton.
 SHARD_WORDS = 200_000
+#: Words of one piece of an item (or a window, if that is longer).
+PIECE_WORDS = 10_000
+#: Automata that one task holds at most.
+SHARDS_A_PASS = 4
 
 _WORD = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -139,16 +148,47 @@ class Automaton:
         return out
 
 
-def _shards(bench: DataFrame, item_col: str, text_col: str, shard_words: int) -> Iterator[list[tuple]]:
-    """Items by shard: each is read on its own, so the driver holds one bounded shard at a time."""
+def _pieces(bench: DataFrame, item_col: str, text_col: str, window: int, piece_words: int) -> DataFrame:
+    """(item, words, n): the words of each distinct item, space-joined, in overlapping pieces."""
     items = (bench.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("t"))
              .where("item IS NOT NULL AND t IS NOT NULL").distinct())
-    # a word takes two bytes at least with its separator, so this bounds the words from above
-    size = items.agg(F.sum((F.octet_length("t") + 1) / 2)).first()[0] or 0
-    n = int(size // shard_words) + 1
-    for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item", "t"), F.lit(n)) == k)
-        yield [(r["item"], words(r["t"].encode("utf-8", "surrogatepass"))) for r in part.collect()]
+    size = max(piece_words, window)
+    hop = size - window + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                ws = words(t.as_buffer().to_pybytes())
+                parts = [ws[i:i + size] for i in range(0, max(len(ws) - window, 0) + 1, hop)] if ws else []
+                if parts:
+                    yield pa.RecordBatch.from_pydict({
+                        "item": pa.array([item] * len(parts), pa.string()),
+                        "words": pa.array([b" ".join(p) for p in parts], pa.binary()),
+                        "n": pa.array([len(p) for p in parts], pa.int64())})
+
+    return map_arrow(items, run, "item string, words binary, n bigint")
+
+
+class _Built:
+    """A pickled automaton: shipped as it is and made whole again where a task unpickles it."""
+
+    def __init__(self, raw: bytes):
+        self.raw = raw
+
+    def __reduce__(self):
+        return pickle.loads, (self.raw,)
+
+
+def _automata(pieces: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """(shard, auto): one pickled automaton per shard, built in tasks."""
+    n = int((pieces.agg(F.sum("n")).first()[0] or 0) // shard_words) + 1
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        items = sorted((i, bytes(w).split()) for i, w in zip(pdf["item"], pdf["words"], strict=True))
+        return pd.DataFrame({"shard": pdf["shard"].iloc[:1].to_numpy(), "auto": [pickle.dumps(Automaton(items, window))]})
+
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("item", "words"), F.lit(n)).cast("int"))
+    return stash(dealt.groupBy("shard").applyInPandas(build, "shard int, auto binary"), "automata")
 
 
 RESULT = "struct<n_words:bigint,spans:array<struct<a:int,b:int>>,items:array<string>>"
@@ -183,16 +223,31 @@ def _find(auto: Automaton, text: bytes) -> tuple[int, list[tuple[int, int]], set
 
 
 def annotate(docs: DataFrame, bench: DataFrame, window: int = 13, text_col: str = "text", out_col: str = "hits",
-             item_id_col: str = "item_id", item_text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
+             item_id_col: str = "item_id", item_text_col: str = "text", shard_words: int = SHARD_WORDS,
+             piece_words: int = PIECE_WORDS) -> DataFrame:
     """Adds ``out_col``: struct(n_words; spans, the disjoint ascending word ranges that lie in
-    an occurrence of a window; items, the ids of items with such windows). No shuffle: the
-    documents stream through one pass per shard, which unites its finds with the earlier ones."""
+    an occurrence of a window; items, the ids of items with such windows). The documents are not
+    shuffled: they stream through one step per shard, which unites its finds with the earlier ones."""
     sc = docs.sparkSession.sparkContext
     at = docs.columns.index(text_col)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     out = docs.withColumn(out_col, F.lit(None).cast(RESULT))
-    for items in _shards(bench, item_id_col, item_text_col, shard_words):
-        shared = sc.broadcast(Automaton(items, window))
+    built = _automata(_pieces(bench, item_id_col, item_text_col, window, piece_words), window, shard_words)
+    shards = sorted(r["shard"] for r in built.select("shard").collect())  # a number per shard
+    kept, held = None, []
+    for k, shard in enumerate(shards or [None]):
+        if k and k % SHARDS_A_PASS == 0:
+            done, kept = kept, stash(out, "hits")
+            out = kept
+            for x in held:
+                x.unpersist()
+            held.clear()
+            if done is not None:
+                release(done)
+        raw = (bytes(built.where(F.col("shard") == shard).first()["auto"]) if shard is not None
+               else pickle.dumps(Automaton([], window)))
+        shared = sc.broadcast(_Built(raw))
+        held.append(shared)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             auto = shared.value

@@ -101,6 +101,20 @@ def test_decontamination(spark, shard_words):
         assert r["contaminated"] == (len(hit) > 0 and 20 * len(hit) >= len(w))
 
 
+def test_long_items_are_dealt_out_in_overlapping_pieces(spark):
+    """The same rows from one automaton over whole items and from many over pieces of 20 words."""
+    rng = random.Random(5)
+    items = [(f"i{k}", " ".join(f"v{rng.randrange(40)}" for _ in range(n))) for k, n in enumerate((0, 5, 13, 20, 21, 33, 500))]
+    long = items[-1][1].split()
+    docs = [(d, " ".join(["zz"] * 3 + long[d * 7:d * 7 + rng.choice([12, 13, 14, 40])] + ["zz"] + items[1][1].split())) for d in range(60)]
+    docs = spark.createDataFrame([*docs, (60, None), (61, "")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    whole = decontam.report(docs, bench).collect()
+    cut = decontam.report(docs, bench, shard_words=100, piece_words=20).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, cut))
+    assert sum(r["n_items"] == 2 for r in whole) >= 30
+
+
 def test_spans_are_cut_out(spark):
     item = " ".join(f"q{i}" for i in range(13))
     docs = spark.createDataFrame([(1, "é A b. " + " ".join(f"x{i}" for i in range(300)) + f" ({item.upper()}), end")],
