@@ -25,8 +25,9 @@ from parlance.operators import sampling as SM
 from parlance.operators import scoring as SC
 from parlance.operators.slicing import generate_slices
 from parlance.operators.transcribe import transcribe
+from parlance.session import delete_path
 from parlance.sources import files as FS
-from parlance.sources.sinks import pending
+from parlance.sources.sinks import latest, pending, write_batch
 
 
 class Build(NamedTuple):
@@ -107,6 +108,30 @@ def evaluate(df: DataFrame, text_col: str, scorer_factory: Callable, factory_kwa
         "transcription_time", *meta_cols, *SC.provenance(model, dataset, split, engine))
 
 
+def evaluate_to(spark: SparkSession, path: str, df: DataFrame, text_col: str, scorer_factory: Callable,
+                factory_kwargs: dict | None = None, blocks: int = 1, overwrite: bool = False,
+                id_col: str = "id", **options) -> DataFrame:
+    """Pipeline 3.2 with its results kept (SNK5, JOIN5): ``evaluate`` the rows whose id is not yet in
+    the results at ``path``, write them and return all results, read back. The scorer runs once per
+    row, whatever is read from the results afterwards.
+
+    The rows are taken in ``blocks`` by the hash of their id, each written as a batch of its own: after
+    an interruption only the blocks that were not written are scored again. ``overwrite`` starts anew.
+    Options are those of ``evaluate``. Ids are to be unique and not null.
+    """
+    if overwrite:
+        delete_path(spark, path)
+    done = latest(spark, path, ["id"])
+    first = 0 if done is None else done.agg(F.max("batch")).first()[0] + 1
+    if done is not None:
+        done = done.select(F.col("id").alias(id_col))
+    for k in range(blocks):
+        part = df if blocks == 1 else df.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == k)
+        rows = evaluate(part, text_col, scorer_factory, factory_kwargs, id_col=id_col, done=done, **options)
+        write_batch(rows, path, first + k)
+    return latest(spark, path, ["id"])
+
+
 def summarize(rows: DataFrame, group_cols: list[str] = ("model", "dataset")) -> tuple[DataFrame, DataFrame]:
     """Corpus WER/WIL (AGG1) and the three latency families (AGG3) per group."""
     g = list(group_cols)

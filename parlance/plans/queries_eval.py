@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from parlance.functions import text as TX
 from parlance.operators import scoring as SC
 from parlance.operators.balance import spread_for_cpu
+from parlance.operators.transcribe import example_scorer_factory
 from parlance.plans import fixtures as FX
 from parlance.plans.catalog import register, sql_degrade, sql_hebrew_norm, sql_words, SQL_BASIC_NORM
 from parlance.sources.tables import table
@@ -170,3 +171,29 @@ FROM fr LEFT JOIN st USING (event_type, metric)
 @register("latency_by_event_type", _LAT_SQL)
 def latency_by_event_type(spark, sf_dir):
     return SC.latency_stats(FX.latency_rows(spark, sf_dir), ["event_type"])
+
+
+# ---- SNK5 + JOIN5 + FLT7 + UDF1: an evaluation that an earlier run has begun --------------------
+@register("resumed_evaluation_conversations", f"""
+SELECT conv_id || '-' || turn AS id, CAST(CASE WHEN conv_id % 3 = 0 THEN 0 ELSE 1 END AS BIGINT) AS batch,
+  md5(CASE WHEN length(text) / 50.0::DOUBLE < 0.5 THEN '' ELSE array_to_string(list_filter(list_transform({sql_words('text')},
+        lambda x, i: CASE WHEN (i - 1) % 3 = 0 THEN reverse(x) ELSE x END), lambda x, i: (i - 1) % 5 != 2), ' ') END) AS predicted_md5,
+  round(CASE WHEN length(text) / 50.0::DOUBLE < 0.5 THEN 0.0::DOUBLE ELSE 0.001::DOUBLE * length(text) END, 6) AS transcription_time,
+  role AS metadata_role, 'example' AS engine
+FROM conversations
+""")
+def resumed_evaluation_conversations(spark, sf_dir):
+    """Every turn is scored once: those of an interrupted run (batch 0) are not scored again."""
+    from parlance.plans.flows import evaluate_to
+    from parlance.session import scratch_path
+    turns = table(spark, sf_dir, "conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("id"), "conv_id", "text", "role",
+        (F.length("text") / 50.0).alias("audio_duration"))
+    path = scratch_path(spark, "evaluation")
+
+    def run(part):
+        return evaluate_to(spark, path, part.drop("conv_id"), "text", lambda **kw: example_scorer_factory(**kw),
+                           model="m", dataset="conversations", engine="example")
+    run(turns.where("conv_id % 3 = 0"))
+    return run(turns).select("id", "batch", F.md5("predicted_text").alias("predicted_md5"),
+                             F.round("transcription_time", 6).alias("transcription_time"), "metadata_role", "engine")

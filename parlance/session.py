@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -67,6 +68,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def _hadoop(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new folder name below the shared folder; its files go when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    fs, jpath = _hadoop(spark, path)
+    fs.deleteOnExit(jpath)
+    return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _hadoop(spark, path)
+    return fs.exists(jpath)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, jpath = _hadoop(spark, path)
+    fs.delete(jpath, True)
+
+
 def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     df.sparkSession.sparkContext.setCheckpointDir(ensure_checkpoint_dir(df.sparkSession))

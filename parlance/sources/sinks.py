@@ -1,8 +1,11 @@
 """Sinks: dataset with splits (SNK1, SNK3), evaluation rows as CSV (SNK2), per-split
-counts (SNK4) and reuse of finished work (SNK5 / JOIN5)."""
+counts (SNK4), reuse of finished work (SNK5 / JOIN5) and results written in batches that may
+be written twice (SNK5, STR6)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +55,30 @@ def existing(spark: SparkSession, path: str, reader=None) -> DataFrame | None:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+
+
+# ---- results in batches ----------------------------------------------------------------
+
+def write_batch(df: DataFrame, path: str, batch: int) -> None:
+    """Write ``df`` as batch number ``batch`` of the results at ``path``. A batch that is written
+    again, as after a failure, replaces its former rows, so a replay changes nothing."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
+
+
+def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of a stream of results: the micro-batch number is the batch."""
+    return lambda df, batch: write_batch(df, path, batch)
+
+
+def latest(spark: SparkSession, path: str, key_cols: list[str]) -> DataFrame | None:
+    """One row per key of the results at ``path`` with its ``batch``, the newest one; None where
+    nothing is written. Of rows that repeat a key in one batch the one with the largest JSON text
+    stays. Rows are combined before they are shuffled; null keys are a key."""
+    rows = existing(spark, path)
+    if rows is None:
+        return None
+    rest = [c for c in rows.columns if c not in (*key_cols, "batch")]
+    row = F.struct(*[F.col(c) for c in rest], F.col("batch").cast("bigint").alias("batch"))
+    rank = F.struct(F.col("batch").cast("bigint"), F.to_json(F.struct(*rest)) if rest else F.lit(""))
+    newest = rows.groupBy(*key_cols).agg(F.max_by(row, rank).alias("_row"))
+    return newest.select(*key_cols, *[F.col("_row")[c].alias(c) for c in (*rest, "batch")])

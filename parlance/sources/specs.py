@@ -11,11 +11,16 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import NamedTuple
+from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parlance.session import delete_path, path_exists
+
 _SPLIT_RANGE = re.compile(r"(?P<name>[^\[\]]+)(?:\[(?P<a>\d*):(?P<b>\d*)\])?")
 
 
@@ -89,8 +94,9 @@ def read_prepared(spark: SparkSession, path: str, fallback: Callable[[], DataFra
 
 
 def sweep(specs: list[str], run_one: Callable[[EvalSpec], DataFrame]) -> DataFrame | None:
-    """SET3: evaluate several sets; an inaccessible or failing one is skipped and the
-    others continue. Results are unioned with a ``dataset`` column."""
+    """SET3 as one plan: sets whose analysis fails (missing table or column) are skipped, the
+    others are unioned with a ``dataset`` column. One that fails while running fails them all;
+    ``run_sweep`` runs each on its own."""
     out = None
     for spec in specs:
         es = parse_eval_spec(spec)
@@ -102,3 +108,49 @@ def sweep(specs: list[str], run_one: Callable[[EvalSpec], DataFrame]) -> DataFra
         df = df.withColumn("dataset", F.lit(es.name + ":" + es.split))
         out = df if out is None else out.unionByName(df)
     return out
+
+
+class Sweep(NamedTuple):
+    """``results``: the rows of the sets that could be evaluated with their ``dataset`` (None where
+    there are none); ``status``: (spec, dataset, status, n_rows, reason), a row per set."""
+
+    results: DataFrame | None
+    status: DataFrame
+
+
+SWEEP_STATUS = "spec string, dataset string, status string, n_rows bigint, reason string"
+
+
+def run_sweep(spark: SparkSession, specs: list[str], run_one: Callable[[EvalSpec], DataFrame], path: str,
+              overwrite: bool = False) -> Sweep:
+    """SET3: evaluate several sets, each by a job of its own that writes below ``path``.
+
+    A set that fails, while its plan is made or while it runs, leaves a reason and the others go on.
+    One that an earlier sweep has finished (its folder holds the mark that Spark writes last) is
+    ``reused`` unless ``overwrite``; a folder without the mark is an interrupted run and is written anew.
+    Specs are listed by their user; nothing but a row per spec is held on the driver.
+    """
+    status, out = [], None
+    for spec in dict.fromkeys(specs):
+        es = parse_eval_spec(spec)
+        name = f"{es.name}:{es.split}"
+        where = f"{path.rstrip('/')}/{quote(spec, safe='')}"
+        reused = not overwrite and path_exists(spark, f"{where}/_SUCCESS")
+        try:
+            if not reused:
+                run_one(es).write.mode("overwrite").parquet(where)
+            rows = spark.read.parquet(where)
+            status.append((spec, name, "reused" if reused else "finished", rows.count(), None))
+        except (PySparkException, Py4JJavaError, ValueError) as e:
+            delete_path(spark, where)
+            status.append((spec, name, "failed", None, _reason(e)))
+            continue
+        rows = rows.withColumn("dataset", F.lit(name))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return Sweep(out, spark.createDataFrame(status, SWEEP_STATUS))
+
+
+def _reason(e: Exception) -> str:
+    """The error condition, where Spark names one, else the first line of the message."""
+    condition = e.getCondition() if isinstance(e, PySparkException) else None
+    return condition or f"{type(e).__name__}: {(str(e).splitlines() or [''])[0][:200]}"

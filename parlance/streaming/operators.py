@@ -69,50 +69,54 @@ SESSION_STATE = T.StructType([
     T.StructField("texts", T.ArrayType(T.StringType())),
     T.StructField("last_ts", T.TimestampType()),
     T.StructField("last_seq", T.LongType()),
+    T.StructField("finished", T.BooleanType()),
 ])
 _IDLE_MS = 60_000
 
 
-def _emit(key, seqs, texts):
-    order = sorted(range(len(seqs)), key=lambda i: seqs[i])
-    return pd.DataFrame({"stream_id": [key[0]], "n_chunks": [len(seqs)],
-                         "text": [" ".join(texts[i] for i in order)]})
+def _emit(key, chunks: dict[int, str]) -> pd.DataFrame:
+    return pd.DataFrame({"stream_id": [key[0]], "n_chunks": [len(chunks)],
+                         "text": [" ".join(chunks[i] for i in sorted(chunks))]})
 
 
 def _session_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Append chunks; emit the full text once the last chunk and every earlier sequence
-    number have arrived (chunks may arrive out of order), or on event-time timeout."""
+    """Keep chunks by their number; emit the full text once the last chunk and every earlier sequence
+    number have arrived (chunks may arrive out of order), or on event-time timeout. A finished
+    stream leaves a mark until its timeout, so chunks that are sent again are not a new stream."""
     if state.hasTimedOut:
-        seqs, texts, _, _ = state.get
+        seqs, texts, _, _, finished = state.get
         state.remove()
-        yield _emit(key, seqs, texts)
+        if not finished:
+            yield _emit(key, dict(zip(seqs, texts, strict=True)))
         return
+    chunks, last_ts, last_seq, finished = {}, None, -1, False
     if state.exists:
-        seqs, texts, last_ts, last_seq = list(state.get[0]), list(state.get[1]), state.get[2], state.get[3]
-    else:
-        seqs, texts, last_ts, last_seq = [], [], None, -1
+        seqs, texts, last_ts, last_seq, finished = state.get
+        chunks = dict(zip(seqs, texts, strict=True))
     for pdf in pdfs:
-        seqs.extend(int(x) for x in pdf["seq"])
-        texts.extend("" if t is None else str(t) for t in pdf["text"])
-        ends = pdf.loc[pdf["is_last"].fillna(False).astype(bool), "seq"]
-        if len(ends):
-            last_seq = int(ends.max())
+        if not finished:
+            for i, t in zip(pdf["seq"], pdf["text"], strict=True):
+                t = "" if t is None else str(t)
+                chunks[int(i)] = min(chunks.get(int(i), t), t)
+            ends = pdf.loc[pdf["is_last"].fillna(False).astype(bool), "seq"]
+            if len(ends):
+                last_seq = max(last_seq, int(ends.max()))
         m = pd.to_datetime(pdf["ts"]).max()
         last_ts = m if last_ts is None else max(pd.Timestamp(last_ts), m)
-    if last_seq >= 0 and len(set(seqs)) == last_seq + 1:
-        state.remove()
-        yield _emit(key, seqs, texts)
-    else:
-        state.update((seqs, texts, pd.Timestamp(last_ts).to_pydatetime(), last_seq))
-        # expire one minute of event time after the newest chunk (needs a watermark)
-        state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).timestamp() * 1000) + _IDLE_MS)
+    if not finished and last_seq >= 0 and len(chunks) == last_seq + 1:
+        yield _emit(key, chunks)
+        chunks, finished = {}, True
+    state.update((list(chunks), list(chunks.values()), pd.Timestamp(last_ts).to_pydatetime(), last_seq, finished))
+    # expire one minute of event time after the newest chunk (needs a watermark)
+    state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).timestamp() * 1000) + _IDLE_MS)
 
 
 def assemble_sessions(df: DataFrame, watermark: str = "1 minute") -> DataFrame:
     """STR1: ``(stream_id, seq, ts, text, is_last)`` chunks -> one row per finished stream
-    with the chunk texts joined by a space in ``seq`` order. State lives per stream until
-    its last chunk arrives, or until the event-time watermark passes one minute after its
-    newest chunk (then the partial text is emitted). Chunks older than the watermark are
+    with the chunk texts joined by a space in ``seq`` order. A chunk that is sent again counts once; of
+    different texts of one number the smallest stays. State lives per stream until the event-time
+    watermark passes one minute after its newest chunk (an unfinished stream's partial text is emitted
+    then); once a stream is finished it holds no text. Chunks older than the watermark are
     dropped by Spark."""
     src = df.withWatermark("ts", watermark) if df.isStreaming else df
     return (src.select("stream_id", "seq", "ts", "text", "is_last")
@@ -122,9 +126,10 @@ def assemble_sessions(df: DataFrame, watermark: str = "1 minute") -> DataFrame:
 
 
 def assemble_sessions_batch(df: DataFrame) -> DataFrame:
-    """The batch meaning of STR1, as plain DataFrame code (used as its check)."""
-    g = df.groupBy("stream_id").agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("_c"),
-                                    F.max(F.col("is_last").cast("int")).alias("_end"))
-    return g.filter(F.col("_end") == 1).select(
+    """The batch meaning of STR1, as plain DataFrame code (used as its check): finished streams only."""
+    chunks = df.groupBy("stream_id", "seq").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"),
+                                                F.max(F.coalesce("is_last", F.lit(False))).alias("_last"))
+    g = chunks.groupBy("stream_id").agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("_c"), F.max("_last").alias("_end"))
+    return g.filter("_end").select(
         "stream_id", F.size("_c").cast("long").alias("n_chunks"),
-        F.array_join(F.transform("_c", lambda c: F.coalesce(c["text"], F.lit(""))), " ").alias("text"))
+        F.array_join(F.col("_c.text"), " ").alias("text"))

@@ -12,7 +12,7 @@ from parlance.operators import merging as MG
 from parlance.operators.slicing import generate_slices
 from parlance.operators.transcribe import example_scorer_factory
 from parlance.plans import fixtures as FX
-from parlance.plans.flows import build_dataset, evaluate, prepare_labels, summarize
+from parlance.plans.flows import build_dataset, evaluate, evaluate_to, prepare_labels, summarize
 from parlance.sources import files as FS
 from parlance.sources import sinks as SK
 
@@ -118,6 +118,71 @@ def test_evaluate_and_reuse(spark):
     assert SK.pending(conv, back.limit(10), ["id"]).count() == n - 10
 
 
+def test_every_row_is_scored_once(spark):
+    """Resumed after one of three blocks was lost, then summarised: one call of the scorer per row."""
+    import shutil
+    log = tempfile.mkdtemp(prefix="parlance-calls-")
+
+    def factory():
+        inner = example_scorer_factory()
+
+        def fn(entry):
+            with open(os.path.join(log, f"{os.getpid()}.txt"), "a") as f:
+                f.write(entry["id"] + "\n")
+            return inner(entry)
+        return fn
+
+    def calls():
+        return sorted(x for n in os.listdir(log) for x in open(os.path.join(log, n)).read().split())
+
+    conv = (FX.chunk_stream(spark, SF).select(F.concat_ws("-", "stream_id", "seq").alias("id"), "text",
+                                              (F.length("text") / 50.0).alias("audio_duration")))
+    scored = sorted(r["id"] for r in conv.where("audio_duration >= 0.5").collect())
+    path = tempfile.mkdtemp(prefix="parlance-kept-") + "/rows"
+    run = lambda **kw: evaluate_to(spark, path, conv, "text", factory, model="m", dataset="conv", **kw)
+    rows = run(blocks=3)
+    assert rows.count() == conv.count()
+    corpus, lat = summarize(rows)
+    assert corpus.first()["n_pairs"] == conv.count() and lat.count() == 3
+    assert calls() == scored
+    before = sorted(map(tuple, rows.drop("batch").collect()))
+    lost = {r["id"] for r in rows.where("batch = 1 AND audio_duration >= 0.5").collect()}
+    shutil.rmtree(path + "/batch=1")
+    again = run()
+    assert sorted(map(tuple, again.drop("batch").collect())) == before
+    assert calls() == sorted([*scored, *lost]) and lost
+    assert run(overwrite=True).count() == conv.count() and calls() == sorted([*scored, *scored, *lost])
+
+
+def test_sweep_goes_on_after_failures(spark):
+    from parlance.sources import specs as SP
+    ran = []
+
+    def run_one(es):
+        ran.append(es.name)
+        if es.name == "refused":
+            raise ValueError("no access\nsecond line")
+        n = spark.range(4).withColumn("x", F.lit(es.text_column))
+        if es.name == "breaks":
+            return n.withColumn("x", F.when(F.col("id") == 3, F.raise_error(F.lit("bad row"))).otherwise(F.col("x")))
+        return n if es.name != "absent" else spark.table("no_such_table_here")
+    path = tempfile.mkdtemp(prefix="parlance-sweep-")
+    specs = ["a/b:test:t", "breaks", "refused", "absent", "c", "a/b:test:t"]
+    out = SP.run_sweep(spark, specs, run_one, path)
+    st = {r["spec"]: r for r in out.status.collect()}
+    assert {k: r["status"] for k, r in st.items()} == {"a/b:test:t": "finished", "breaks": "failed", "refused": "failed",
+                                                       "absent": "failed", "c": "finished"}
+    assert st["refused"]["reason"] == "ValueError: no access" and st["breaks"]["reason"] and st["absent"]["reason"]
+    assert sorted(map(tuple, out.results.groupBy("dataset").count().collect())) == [("a/b:test", 4), ("c:test", 4)]
+    ran.clear()
+    again = SP.run_sweep(spark, specs[:2], run_one, path)
+    assert [r["status"] for r in again.status.orderBy("spec").collect()] == ["reused", "failed"] and ran == ["breaks"]
+    ran.clear()
+    assert SP.run_sweep(spark, specs[:1], run_one, path, overwrite=True).status.first()["status"] == "finished" and ran == ["a/b"]
+    none = SP.run_sweep(spark, ["refused"], run_one, path)
+    assert none.results is None and none.status.first()["n_rows"] is None
+
+
 def test_prepare_labels_and_write(spark):
     ex = MG.build_examples(FX.fixed_hop_slices(spark, SF))
     lab = prepare_labels(ex, ["entry_id", "slice_idx"])
