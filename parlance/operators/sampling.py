@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parlance.functions.random import beta_2_3, bernoulli, uniform
-from parlance.operators.ranks import with_position
+from parlance.operators.ranks import BROADCAST_ROWS, with_position
 
 # Top-k stays a bounded per-task heap (TakeOrderedAndProject) up to this many rows;
 # beyond it, positions are assigned by the distributed range-rank.
@@ -240,6 +240,14 @@ def concatenate(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+#: Steps of the seeded draw stream that are numbered together.
+DRAW_BLOCK = 1 << 16
+#: Datasets up to which a draw is compiled as a chain of conditions, which is the faster form.
+WHEN_CHAIN = 50
+#: Times that one row of a small dataset is repeated inside one task.
+REPEATS = 1 << 12
+
+
 def interleave(spark: SparkSession, frames: dict[str, DataFrame], key: str,
                probabilities: list[float] | None = None, seed: int = 745) -> DataFrame:
     """SET2: interleave datasets until every one is exhausted (oversampling the rest).
@@ -252,43 +260,114 @@ def interleave(spark: SparkSession, frames: dict[str, DataFrame], key: str,
     names = list(frames)
     if len(names) == 1:
         return frames[names[0]]
+    _check_probabilities(probabilities, len(names))
+    rows = concatenate([frames[nm].withColumn("source", F.lit(nm).cast("string")).withColumn("_src", F.lit(i))
+                        for i, nm in enumerate(names)])
+    sizes = rows.groupBy("_src").agg(F.count(F.lit(1)).alias("_len"))
+    if sizes.count() < len(names):
+        raise ValueError("cannot interleave an empty dataset")
+    return _interleaved(rows, sizes, len(names), key, probabilities, seed)
+
+
+def interleave_groups(df: DataFrame, group_col: str, key: str,
+                      weigh: Callable[[int], list[float]] | None = None, seed: int = 745) -> DataFrame:
+    """SET2 with one dataset per value of ``group_col``, in value order, null last; ``weigh(k)`` gives
+    the probabilities of k datasets. Output: ``step``, ``source`` (the value) and the other columns.
+    The number of jobs does not depend on the number of datasets; with one dataset ``step`` is the
+    position in ``key`` order, and without rows there is none.
+    """
+    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("_value").asc_nulls_last()))  # a row per dataset
+    sizes = (df.groupBy(F.col(group_col).alias("_value")).agg(F.count(F.lit(1)).alias("_len"))
+             .withColumn("_src", number - 1))
+    k = sizes.count()
+    probabilities = weigh(k) if weigh and k > 1 else None
+    _check_probabilities(probabilities, k)
+    src = sizes.select("_src", "_value")
+    rows = df.join(_small(src, k), df[group_col].eqNullSafe(src["_value"])).drop(group_col).withColumnRenamed("_value", "source")
+    return _interleaved(rows, sizes.select("_src", "_len"), k, key, probabilities, seed)
+
+
+def _check_probabilities(probabilities: list[float] | None, k: int) -> None:
     if probabilities is not None:
-        if len(probabilities) != len(names):
+        if len(probabilities) != k:
             raise ValueError("number of probabilities must match number of datasets")
         if any(p <= 0 for p in probabilities):
             raise ValueError("probabilities must be positive")
-    sizes = {nm: frames[nm].count() for nm in names}  # k scalars
-    if any(v == 0 for v in sizes.values()):
-        raise ValueError("cannot interleave an empty dataset")
-    k = len(names)
-    if probabilities is None:
-        T_steps = max((sizes[nm] - 1) * k + i + 1 for i, nm in enumerate(names))
-        pick = (F.col("step") % k).cast("int")
-    else:
-        tot = sum(probabilities)
-        ps = [p / tot for p in probabilities]
-        T_steps = int(math.ceil(2 * max(sizes[nm] / p for nm, p in zip(names, ps)))) + 100
-        u = uniform(seed, F.col("step"), F.lit("interleave"))
-        cum, acc = [], 0.0
-        for p in ps[:-1]:
-            acc += p
-            cum.append(acc)
-        pick = F.lit(k - 1)
-        for i in reversed(range(len(cum))):
-            pick = F.when(u < cum[i], F.lit(i)).otherwise(pick)
-    size_map = F.create_map(*[x for i, nm in enumerate(names) for x in (F.lit(i), F.lit(sizes[nm]))])
-    sched = (spark.range(T_steps).withColumnRenamed("id", "step").withColumn("_src", pick))
-    sched = with_position(sched, ["step"], partition_cols=["_src"], name="_draw")
-    sched = sched.withColumn("_len", size_map[F.col("_src")])
-    full = sched.filter(F.col("_draw") == F.col("_len") - 1).groupBy("_src").agg(F.min("step").alias("_full"))
-    n_full = full.count()
-    if n_full < k:
-        raise RuntimeError("interleave schedule too short: a source was never exhausted")
-    stop = full.agg(F.max("_full")).first()[0]  # one scalar
-    sched = sched.filter(F.col("step") <= F.lit(stop)).withColumn("_row", F.col("_draw") % F.col("_len"))
-    parts = []
-    for i, nm in enumerate(names):
-        indexed = with_position(frames[nm], [key], name="_row").withColumn("_src", F.lit(i))
-        parts.append(indexed.withColumn("source", F.lit(nm).cast("string")))
-    rows = concatenate(parts)
-    return sched.select("step", "_src", "_row").join(rows, ["_src", "_row"]).drop("_src", "_row")
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast below the bound of ``ranks``; ``rows`` is counted, not guessed."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def _interleaved(rows: DataFrame, sizes: DataFrame, k: int, key: str, probabilities: list[float] | None, seed: int) -> DataFrame:
+    """The draws of the k datasets of ``rows`` (``_src``), whose lengths are ``sizes``."""
+    placed = with_position(rows, [key], partition_cols=["_src"], name="_row").join(_small(sizes, k), "_src")
+    if probabilities is None or k < 2:
+        # draw c of source s is step c * k + s, so a row knows its own steps
+        stop = sizes.agg(F.max((F.col("_len") - 1) * k + F.col("_src"))).first()[0]
+        last = F.floor((F.lit(stop).cast("bigint") - F.col("_src")) / k)
+        return _repeated(placed, last).withColumn("step", F.col("_draw") * k + F.col("_src")).drop("_src", "_len", "_row", "_draw")
+    total = sum(probabilities)
+    shares, bounds, acc = [p / total for p in probabilities], [], 0.0
+    for p in shares[:-1]:
+        acc += p
+        bounds.append(acc)
+
+    def pick(step: Column) -> Column:
+        u = uniform(seed, step, F.lit("interleave"))
+        if k > WHEN_CHAIN:
+            return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= u))
+        out = F.lit(k - 1)
+        for i in reversed(range(k - 1)):
+            out = F.when(u < bounds[i], F.lit(i)).otherwise(out)
+        return out
+
+    share = F.element_at(F.array(*map(F.lit, shares)), F.col("_src") + 1)
+    steps = int(math.ceil(2 * sizes.agg(F.max(F.col("_len") / share)).first()[0])) + 100
+    while True:
+        upto, stop = _stop(rows.sparkSession, steps, pick, sizes, k)
+        if stop is not None:
+            break
+        steps *= 2  # a source was not exhausted: the longer stream begins with the same draws
+    drawn = _draws(rows.sparkSession.range(stop + 1).withColumnRenamed("id", "step"), pick).join(upto, ["_block", "_src"])
+    drawn = drawn.join(_small(sizes, k), "_src").select(
+        "step", "_src", ((F.col("_before") + F.col("_nth")) % F.col("_len")).alias("_row"))
+    return drawn.join(placed.drop("_len"), ["_src", "_row"]).drop("_src", "_row")
+
+
+def _draws(steps: DataFrame, pick: Callable[[Column], Column]) -> DataFrame:
+    """Source of each step and its number among the draws of that source in its block."""
+    src = steps.withColumn("_src", pick(F.col("step"))).withColumn("_block", F.floor(F.col("step") / DRAW_BLOCK))
+    return src.withColumn("_nth", F.row_number().over(Window.partitionBy("_block", "_src").orderBy("step")) - 1)
+
+
+def _stop(spark: SparkSession, steps: int, pick: Callable[[Column], Column], sizes: DataFrame, k: int) -> tuple[DataFrame, int | None]:
+    """Draws of each source before each block, and the step at which the last source is exhausted
+    (None where ``steps`` do not suffice). Only the blocks in which a source ends are numbered."""
+    counted = (spark.range(steps).withColumnRenamed("id", "step")
+               .groupBy(F.floor(F.col("step") / DRAW_BLOCK).alias("_block"), pick(F.col("step")).alias("_src"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_src").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    upto = counted.withColumn("_before", before)
+    need = F.col("_len") - 1
+    ends = (upto.join(_small(sizes, k), "_src").where((F.col("_before") <= need) & (need < F.col("_before") + F.col("_n")))
+            .select("_block", "_src", (need - F.col("_before")).alias("_nth")))
+    inside = ends.select("_block").distinct().select(F.explode(F.sequence(
+        F.col("_block") * DRAW_BLOCK, F.least(F.lit(steps), (F.col("_block") + 1) * DRAW_BLOCK) - 1)).alias("step"))
+    at = _draws(inside, pick).join(ends, ["_block", "_src", "_nth"])
+    found, stop = at.agg(F.count(F.lit(1)), F.max("step")).first()
+    return upto.select("_block", "_src", "_before"), stop if found == k else None
+
+
+def _repeated(placed: DataFrame, last: Column) -> DataFrame:
+    """Every draw ``_row``, ``_row + _len``, ... up to ``last``. A row that is drawn more than ``REPEATS``
+    times is first dealt out in parts over the tasks, so a tiny dataset beside a large one is no hot row."""
+    rows = placed.withColumn("_last", last).where(F.col("_row") <= F.col("_last"))
+    hop = F.col("_len") * REPEATS
+    few = rows.where(F.col("_last") - F.col("_row") < hop).withColumn("_from", F.col("_row"))
+    many = (rows.where(F.col("_last") - F.col("_row") >= hop)
+            .withColumn("_from", F.explode(F.sequence(F.col("_row"), F.col("_last"), hop)))
+            .repartition("_src", "_row", "_from"))
+    end = F.least(F.col("_last"), F.col("_from") + hop - 1)
+    return few.unionByName(many).withColumn("_draw", F.explode(F.sequence("_from", end, "_len"))).drop("_last", "_from")

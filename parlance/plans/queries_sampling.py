@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from parlance.functions import text as TX
 from parlance.functions.random import sql_uniform
 from parlance.operators import sampling as SM
-from parlance.operators.ranks import with_position
 from parlance.plans.catalog import register, sql_hebrew_norm, sql_words
+from parlance.session import scratch_path
 from parlance.sources import specs as SP
 from parlance.sources.tables import table
 
@@ -129,13 +129,7 @@ WHERE s.step <= (SELECT stop FROM stop)
 def _interleave(spark, sf_dir, weigh=None):
     """One dataset per language of the table, in name order, then the rows without a language."""
     d = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    langs = sorted((r["lang"] for r in d.select("lang").distinct().collect()), key=lambda l: (l is None, l or ""))
-    if len(langs) < 2:  # nothing to interleave with
-        one = with_position(d, ["doc_id"], name="step")
-        return one.select(F.col("step").cast("bigint").alias("step"), F.col("lang").alias("source"), "doc_id")
-    frames = {l: d.filter(F.col("lang").eqNullSafe(F.lit(l))).select("doc_id") for l in langs}
-    out = SM.interleave(spark, frames, "doc_id", probabilities=weigh and weigh(len(langs)), seed=745)
-    return out.select("step", "source", "doc_id")
+    return SM.interleave_groups(d, "lang", "doc_id", weigh, seed=745).select("step", "source", "doc_id")
 
 
 def falling_weights(k: int) -> list[float]:
@@ -170,3 +164,29 @@ def eval_sweep_conversations(spark, sf_dir):
         return t.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(words).cast("bigint").alias("n_words"))
     out = SP.sweep(SWEEP_SPECS, run_one)
     return out.filter(F.col("n_rows") > 0).select("dataset", "n_rows", "n_words")
+
+
+STATUS_SPECS = ["events:click:value", "events:view:event_id", "events:click:props", "no_such_table:all:value",
+                "events:view:no_such_column"]
+
+
+@register("sweep_status", """
+SELECT 'events:click:value' AS spec, 'finished' AS status, count(*) AS n_numbers, false AS has_reason,
+       round(sum(value), 4) AS total FROM events WHERE event_type = 'click'
+UNION ALL SELECT 'events:view:event_id', 'finished', count(*), false, round(CAST(sum(event_id) AS DOUBLE), 4) FROM events WHERE event_type = 'view'
+UNION ALL SELECT x, 'failed', NULL, true, NULL
+FROM (VALUES ('events:click:props'), ('no_such_table:all:value'), ('events:view:no_such_column')) v(x)
+""")
+def sweep_status(spark, sf_dir):
+    """SET3: the sum of a numeric column over each set. One set names a column that holds no numbers
+    and fails while it runs, two fail before; the others finish."""
+    def run_one(es):
+        t = table(spark, sf_dir, es.name).filter(F.col("event_type") == es.split)
+        x = F.col(es.text_column).cast("string")
+        number = F.when(x.rlike(r"^-?[0-9.]+(E-?[0-9]+)?$"), x.cast("double")).otherwise(
+            F.raise_error(F.lit("not a number")).cast("double"))
+        return t.agg(F.count(F.lit(1)).alias("n_numbers"), F.round(F.sum(number), 4).alias("total")).withColumn("spec", F.lit(":".join(
+            (es.name, es.split, es.text_column))))
+    out = SP.run_sweep(spark, STATUS_SPECS, run_one, scratch_path(spark, "sweep"))
+    return out.status.join(out.results.drop("dataset"), "spec", "left").select(
+        "spec", "status", "n_numbers", F.col("reason").isNotNull().alias("has_reason"), "total")

@@ -89,6 +89,45 @@ def test_interleave_rules(spark):
         SM.interleave(spark, frames, "doc_id", probabilities=[1.0])
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+def test_interleave_groups_is_the_sequential_one(spark, weighted):
+    """150 datasets of unequal length, one of a single row and one without a name, step by step."""
+    from parlance.functions.random import uniform
+    rows = [(i, None if i % 17 == 0 else f"g{i * i % 149:03d}") for i in range(1200)] + [(5000, "one")]
+    weigh = (lambda k: [(i % 5) + 1.0 for i in range(k)]) if weighted else None
+    out = SM.interleave_groups(spark.createDataFrame(rows, "id long, g string"), "g", "id", weigh).collect()
+    got = {r["step"]: (r["source"], r["id"]) for r in out}
+    sets = {}
+    for i, g in sorted(rows):
+        sets.setdefault(g, []).append(i)
+    names = sorted(sets, key=lambda g: (g is None, g or ""))
+    k = len(names)
+    us = [r[0] for r in spark.range(100_000).orderBy("id").select(uniform(745, F.col("id"), F.lit("interleave"))).collect()] if weighted else []
+    p = weigh(k) if weighted else []
+    bounds, acc = [], 0.0
+    for x in p[:-1]:
+        acc += x / sum(p)
+        bounds.append(acc)
+    taken, step, want = dict.fromkeys(names, 0), 0, {}
+    while any(taken[g] < len(sets[g]) for g in names):
+        g = names[sum(b <= us[step] for b in bounds)] if weighted else names[step % k]
+        want[step] = (g, sets[g][taken[g] % len(sets[g])])
+        taken[g] += 1
+        step += 1
+    assert len(out) == len(got) and got == want
+
+
+def test_interleave_beside_a_tiny_dataset(spark):
+    """A row that is drawn more often than one task repeats it, and one or no dataset."""
+    big = spark.range(10_000).withColumn("g", F.lit("a"))
+    out = SM.interleave_groups(big.unionByName(spark.createDataFrame([(-1, "b")], "id long, g string")), "g", "id")
+    assert out.where("source = 'b' AND id = -1 AND step % 2 = 1").count() == 9_999
+    assert out.where("source = 'a'").select("id").distinct().count() == out.where("source = 'a' AND step = 2 * id").count() == 10_000
+    assert [tuple(r) for r in SM.interleave_groups(big.limit(0), "g", "id").collect()] == []
+    one = SM.interleave_groups(spark.createDataFrame([(7, "x"), (3, "x")], "id long, g string"), "g", "id")
+    assert sorted((r["step"], r["source"], r["id"]) for r in one.collect()) == [(0, "x", 3), (1, "x", 7)]
+
+
 def test_average_is_repeatable_to_the_bit(spark):
     """Any partitioning and any block size gives the same bits; vectors of unequal length too."""
     import random
