@@ -49,15 +49,19 @@ def assert_same_keys(ws: DataFrame) -> None:
 
 
 def average(ws: DataFrame, checkpoints: list, weights: list[float] | None = None, check: bool = True,
-            as_arrays: bool = False, block: int = BLOCK) -> DataFrame:
+            as_arrays: bool = False, block: int = BLOCK, partial: bool = False) -> DataFrame:
     """AGG9: ``sum_c w_c * values_c`` per key, accumulated in DOUBLE in the order of
     ``checkpoints``, result FLOAT.
 
+    Checkpoints of different keys are an error, as in the reference. With ``partial`` they are not:
+    a value that only some checkpoints hold is the average over those, their weights scaled to sum
+    to 1; one that all hold is the same as without ``partial``.
+
     Returns the long form ``(key, pos, value)``; ``as_arrays`` re-assembles one array per
     key (a whole tensor then sits in one row, so keep that for tensors of bounded size).
     """
     w = validate_weights(len(checkpoints), weights)
-    if check:
+    if check and not partial:
         assert_same_keys(ws.filter(F.col("checkpoint").isin(checkpoints)))
     order = F.create_map(*[x for i, c in enumerate(checkpoints) for x in (F.lit(c), F.lit(i))])
     wmap = F.create_map(*[x for i, wt in enumerate(w) for x in (F.lit(i), F.lit(float(wt)))])
@@ -66,9 +70,17 @@ def average(ws: DataFrame, checkpoints: list, weights: list[float] | None = None
     parts = (ws.filter(F.col("checkpoint").isin(checkpoints))
                .select("key", order[F.col("checkpoint")].alias("c"), F.posexplode(cuts).alias("block", "v"))
                .groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("_p")))
-    # a missing end of a shorter vector counts as 0
-    folded = F.aggregate("_p", F.array().cast("array<double>"), lambda acc, p: F.zip_with(
-        acc, p["v"], lambda a, v: F.coalesce(a, F.lit(0.0)) + F.coalesce(v.cast("double"), F.lit(0.0)) * wmap[p["c"]]))
+    none = F.array().cast("array<double>")
+
+    def fold(values):  # a missing end of a shorter vector counts as 0
+        return F.aggregate("_p", none, lambda acc, p: F.zip_with(
+            acc, F.transform(F.coalesce(p["v"], none), lambda v: values(v, p["c"])),
+            lambda a, v: F.coalesce(a, F.lit(0.0)) + F.coalesce(v, F.lit(0.0))))
+    folded = fold(lambda v, c: v.cast("double") * wmap[c])
+    if partial:
+        held = F.zip_with(fold(lambda v, c: F.lit(1.0)), fold(lambda v, c: wmap[c]),
+                          lambda n, x: F.when(n < len(checkpoints), x).otherwise(F.lit(1.0)))
+        folded = F.zip_with(folded, held, lambda v, x: F.when(x > 0, v / x).otherwise(v))
     summed = parts.select("key", "block", F.transform(folded, lambda x: x.cast("float")).alias("v"))
     if not as_arrays:
         return summed.select("key", "block", F.posexplode("v").alias("at", "value")).select(

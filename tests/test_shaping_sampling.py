@@ -145,3 +145,42 @@ def test_average_is_repeatable_to_the_bit(spark):
         assert {(k, p): v for k, vs in arrays.items() for p, v in enumerate(vs)} == long
         want = want or long
         assert long == want and len(long) == sum(40 + k for k in range(6))
+
+
+def test_partial_average_scales_the_weights_that_are_there(spark):
+    from parlance.operators import vectors as VC
+    rows = [(0, 1, [1.0, 2.0, 3.0]), (1, 1, [3.0, 6.0]), (1, 2, [5.0, 7.0]), (0, 3, None), (1, 3, [4.0])]
+    ws = spark.createDataFrame(rows, "checkpoint int, key int, values array<float>")
+    for block in (4096, 1):
+        got = {(r["key"], r["pos"]): r["value"] for r in VC.average(ws, [0, 1], [0.25, 0.75], block=block, partial=True).collect()}
+        assert got == {(1, 0): 2.5, (1, 1): 5.0, (1, 2): 3.0, (2, 0): 5.0, (2, 1): 7.0, (3, 0): 4.0}
+    with pytest.raises(ValueError, match="different keys"):
+        VC.average(ws, [0, 1], [0.25, 0.75])
+
+
+@pytest.mark.parametrize("query", ["checkpoint_average_equal", "checkpoint_average_weighted"])
+def test_checkpoint_average_takes_every_vector(spark, tmp_path, query):
+    """A number of vectors that ten does not divide, checkpoints of unequal size, labels and ids that
+    are null, repeated or beyond 0..9."""
+    import duckdb
+
+    from parlance.plans.catalog import ORACLES, QUERIES
+    rows = [(i, [float(i), i / 8, -1.0], (i * i) % 10) for i in range(53)]
+    rows += [(None, [9.0, 9.5], 4), (7, [2.0, 2.0, 2.0], 9), (7, [1.0, 1.0, 1.0], 9), (60, [3.5], None), (61, [4.5, 1.0], 17), (62, None, 3)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r["key"], r["pos"]): r["value"] for r in QUERIES[query](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = {(k, p): v for k, p, v in con.sql(ORACLES[query]).fetchall()}
+    sets = {}
+    for i, e, label in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or [])):
+        sets.setdefault((label or 0) % 10, []).append(e)
+    brute = {}
+    for c, vectors in sorted(sets.items()):
+        for k, e in enumerate(vectors, 1):
+            for p, v in enumerate(e or []):
+                brute.setdefault((k, p), []).append((0.1 if query.endswith("equal") else (c + 1) / 55, v))
+    assert got.keys() == want.keys() == brute.keys()
+    for at, held in brute.items():
+        x = sum(w * v for w, v in held) / (sum(w for w, _ in held) if len(held) < 10 else 1)
+        assert abs(got[at] - x) < 2e-6 * max(1, abs(x)) and abs(got[at] - want[at]) < 2e-6 * max(1, abs(x))
