@@ -1,14 +1,14 @@
 """Text functions as native Column expressions (TXT1-TXT9, TXT12).
 
 Everything except NFKC stays inside whole-stage codegen. NFKC has no JVM-side SQL
-function, so it is one Arrow-batched pandas UDF applied in the middle of TXT4.
+function, so it is one Arrow UDF applied in the middle of TXT4.
 """
 
 from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +56,16 @@ def remove_quotes(c: Column) -> Column:
     return F.translate(c, QUOTE_CHARS, "")
 
 
-@F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
+#: Texts that are Python strings at a time.
+SLICE = 128
+
+
+@F.arrow_udf(T.StringType())
+def nfkc(s: pa.Array) -> pa.Array:
     """Unicode NFKC on an Arrow batch (no JVM-side equivalent exists)."""
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+    return pa.concat_arrays([pa.array(
+        [None if x is None else unicodedata.normalize("NFKC", x) for x in s.slice(lo, SLICE).to_pylist()], s.type)
+        for lo in range(0, max(len(s), 1), SLICE)])
 
 
 def basic_normalize(c: Column, use_nfkc: bool = True) -> Column:
@@ -122,5 +128,4 @@ def with_prefix_space(text: Column, has_timestamps: Column) -> Column:
 
 def split_words(c: Column) -> Column:
     """Whitespace split of trimmed text; empty text -> empty array."""
-    t = F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-    return F.when(F.length(t) == 0, F.array().cast("array<string>")).otherwise(F.split(t, _WS))
+    return F.array_remove(F.split(c, _WS), "")

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from parlance.functions.align import align_words, cost_and_hits
+from parlance.functions.align import align_words, cost_and_hits, cost_and_hits_many
 from parlance.functions import text as TX
 from parlance.plans.catalog import QUERIES
 from parlance.plans import fixtures as FX
@@ -40,6 +40,33 @@ def test_alignment_matches_brute_force(r, h):
     assert (s + d + i == 0) == (r == h)
 
 
+def test_pairs_of_any_length_together():
+    """Many pairs at once: bands of several widths, padded groups, 16 and 32 bits, bands to be widened."""
+    rng = random.Random(11)
+    pairs = []
+    for n, kinds in [(0, 3), (1, 2), (3, 2), (30, 3), (60, 40), (200, 4), (420, 300)] * 4:
+        r = [str(rng.randrange(kinds)) for _ in range(n)]
+        kept = [w for w in r if rng.random() < 0.8 for _ in range(rng.choice([1, 1, 2]))]
+        pairs += [(r, kept), (kept, r), (r, r[::-1]), (r, r[n // 2:] + r[:n // 2]), (r, []), ([], r)]
+    assert cost_and_hits_many(pairs) == [brute(r, h) for r, h in pairs]
+
+
+def test_words_of_waiting_pairs_are_not_kept():
+    """The pairs may come one by one; only a few lists of words live at a time."""
+    live = [0, 0]
+
+    class Words(list):
+        def __init__(self, words):
+            super().__init__(words)
+            live[0] += 1
+            live[1] = max(live)
+
+        def __del__(self):
+            live[0] -= 1
+    got = cost_and_hits_many((Words("a b c d".split()), Words(["a", str(i), "d"])) for i in range(500))
+    assert got == [(2, 2)] * 500 and live[1] <= 8
+
+
 def test_tie_rule_prefers_hits():
     # 'a b' -> 'b a' costs 2 either way; the rule takes D=1, I=1, H=1
     assert align_words(["a", "b"], ["b", "a"]) == (2, 2, 0, 1, 1, 1)
